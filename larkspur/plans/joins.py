@@ -1,0 +1,23 @@
+"""Join helpers with an explicit size check before any broadcast."""
+
+from __future__ import annotations
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows under which a dimension / aggregate side is broadcast.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``small`` only when a count proves it has at most ``max_rows``.
+
+    The side is persisted first so the count and the join read it once.
+    Beyond the bound the plain frame is returned and Spark plans a
+    shuffle join (AQE's skew-join splitting applies there).
+    """
+    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    if small.count() <= max_rows:
+        return F.broadcast(small)
+    return small

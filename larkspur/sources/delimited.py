@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larkspur.operators import hashtags
 
@@ -23,12 +25,29 @@ def read_records_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RECORD_SCHEMA).option("sep", ";").option("quote", "").csv(path)
 
 
+# Text-table conventions: TAB fields, newline rows, no quoting, NULL as \N
+# (so an empty string stays an empty string).
+NULL_MARK = "\\N"
+
+
 def read_tsv(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Tab-separated text, no quoting, no header (external-table semantics)."""
-    return (spark.read.schema(schema).option("sep", "\t").option("quote", "")
-            .option("escape", "").option("header", "false").option("mode", "PERMISSIVE").csv(path))
+    """Tab-separated text with text-table semantics.
+
+    Lines are split on TAB (trailing empty fields kept); an empty field is
+    an empty string, ``\\N`` is NULL, a missing trailing field is NULL and a
+    value that does not fit a non-string column becomes NULL.
+    """
+    parts = F.split(F.col("value"), "\t", -1)
+    cols = []
+    for i, f in enumerate(schema.fields):
+        v = F.get(parts, i)
+        v = F.when(v != F.lit(NULL_MARK), v)
+        if not isinstance(f.dataType, T.StringType):
+            v = v.try_cast(f.dataType)
+        cols.append(v.alias(f.name))
+    return spark.read.text(path).select(*cols)
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
     (df.write.mode("overwrite").option("sep", "\t").option("quote", "")
-     .option("escape", "").option("emptyValue", "").option("nullValue", "").csv(path))
+     .option("nullValue", NULL_MARK).option("emptyValue", "").csv(path))
