@@ -1 +1,114 @@
-"""Registered queries (filled in below)."""
+"""Family B: streaming hashtag jobs, run as bounded (availableNow) streams.
+
+The "topic" is a folder of Parquet record files in the shared folder,
+written from the ``events``-derived status records; each query runs to the
+end of the available input and returns its sink read back as a batch frame.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from larkspur.functions import codec
+from larkspur.operators import hashtags
+from larkspur.plans.queries_hashtags import records
+from larkspur.plans.sqlfix import STATUS_TAGS
+from larkspur.registry import register
+from larkspur.session import scratch_path
+from larkspur.sources.topic import RECORD_SCHEMA
+from larkspur.streaming import hashtag_stream as hs
+
+FILES_PER_TRIGGER = 2
+TOPIC_FILES = 6
+# Control record: a status far in the future without hashtags; it only moves
+# event time forward so the last open windows close.
+SENTINEL_VALUE = '{"created_at":"Fri Jan 01 00:00:00 +0000 2100","entities":{"hashtags":[]}}'
+
+_COUNTS_SQL = f"""WITH {STATUS_TAGS}
+SELECT date, hour, hashtag, count(*) AS cnt FROM tags GROUP BY date, hour, hashtag"""
+
+
+def write_topic(spark: SparkSession, sf_dir: str, where=None, path: str | None = None) -> str:
+    """Publish status records as Parquet files (several files -> several triggers)."""
+    path = path or scratch_path(spark, "topic")
+    rec = records(spark, sf_dir)
+    if where is not None:
+        rec = rec.where(where)
+    rec.repartition(TOPIC_FILES).write.mode("append").parquet(path)
+    return path
+
+
+@register("stream_hashtag_deltas", _COUNTS_SQL)
+def stream_hashtag_deltas(spark, sf_dir):
+    topic = write_topic(spark, sf_dir)
+    out, ckpt = scratch_path(spark, "s1-records"), scratch_path(spark, "ckpt")
+    hs.run(hs.arrival_deltas(hs.record_stream(spark, topic, FILES_PER_TRIGGER), out, ckpt))
+    return hs.decoded_totals(spark, out)
+
+
+@register("stream_hashtag_windows", f"""WITH {STATUS_TAGS}
+SELECT strftime(time_bucket(INTERVAL '3 minutes', date_trunc('second', ts)), '%Y-%m-%d %H:%M:%S') AS window_start,
+       hashtag, count(*) AS cnt
+FROM tags GROUP BY 1, 2""")
+def stream_hashtag_windows(spark, sf_dir):
+    topic = write_topic(spark, sf_dir)
+    out, ckpt = scratch_path(spark, "s-windows"), scratch_path(spark, "ckpt")
+    hs.run(hs.event_windows(hs.record_stream(spark, topic), out, ckpt))
+    # Later arrivals: a control record moves event time past every open window;
+    # the next trigger (a second control record) then emits them.
+    for day, epoch in (("01", 4102444800), ("02", 4102531200)):
+        value = SENTINEL_VALUE.replace("Jan 01", f"Jan {day}")
+        spark.createDataFrame([("control", value, "statuses", 0, -1, epoch, 0)], RECORD_SCHEMA) \
+            .write.mode("append").parquet(topic)
+        hs.run(hs.event_windows(hs.record_stream(spark, topic), out, ckpt))
+    return spark.read.schema("window_start string, hashtag string, cnt bigint").parquet(out)
+
+
+@register("stream_hashtag_totals", _COUNTS_SQL)
+def stream_hashtag_totals(spark, sf_dir):
+    topic = write_topic(spark, sf_dir)
+    out, ckpt = scratch_path(spark, "s-totals"), scratch_path(spark, "ckpt")
+    hs.run(hs.running_totals(hs.record_stream(spark, topic), out, ckpt))
+    return hs.latest_totals(spark, out)
+
+
+def _two_stage(spark, sf_dir) -> str:
+    topic = write_topic(spark, sf_dir)
+    s1, s2 = scratch_path(spark, "s1-records"), scratch_path(spark, "s2-rollup")
+    hs.run(hs.arrival_deltas(hs.record_stream(spark, topic, FILES_PER_TRIGGER), s1,
+                             scratch_path(spark, "ckpt")))
+    hs.run(hs.rollup_stage(hs.stats_record_stream(spark, s1), s2, scratch_path(spark, "ckpt")))
+    return s2
+
+
+@register("stream_delta_rollup", f"""WITH {STATUS_TAGS}
+SELECT date || ';' || hour || ';' || hashtag AS stat_key, count(*) AS cnt FROM tags GROUP BY date, hour, hashtag""")
+def stream_delta_rollup(spark, sf_dir):
+    return hs.sum_of_deltas(spark, _two_stage(spark, sf_dir))
+
+
+@register("stream_two_stage", _COUNTS_SQL)
+def stream_two_stage(spark, sf_dir):
+    totals = hs.sum_of_deltas(spark, _two_stage(spark, sf_dir))
+    parts = F.split(F.col("stat_key"), codec.DELIM, 3)
+    return totals.select(parts[0].alias("date"), parts[1].alias("hour"), parts[2].alias("hashtag"), "cnt")
+
+
+@register("stream_restart", _COUNTS_SQL)
+def stream_restart(spark, sf_dir):
+    """Stop after the first topic partitions, restart from the checkpoint when the rest arrives."""
+    topic = write_topic(spark, sf_dir, where=F.col("partition") != 2)
+    out, ckpt = scratch_path(spark, "s1-records"), scratch_path(spark, "ckpt")
+    hs.run(hs.arrival_deltas(hs.record_stream(spark, topic, FILES_PER_TRIGGER), out, ckpt))
+    write_topic(spark, sf_dir, where=F.col("partition") == 2, path=topic)
+    hs.run(hs.arrival_deltas(hs.record_stream(spark, topic, FILES_PER_TRIGGER), out, ckpt))
+    return hs.decoded_totals(spark, out)
+
+
+@register("stream_archive_merge", _COUNTS_SQL)
+def stream_archive_merge(spark, sf_dir):
+    topic = write_topic(spark, sf_dir)
+    root, ckpt = scratch_path(spark, "s-archive"), scratch_path(spark, "ckpt")
+    hs.run(hs.archive_merge(hs.record_stream(spark, topic, FILES_PER_TRIGGER), root, ckpt))
+    return hs.archive_totals(spark, root)
