@@ -6,9 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+# Tables whose rows carry per-row parsing work (JSON, regex, text).
+FACT_TABLES = {"lineitem", "events", "documents", "orders", "pages", "conversations"}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan over all task slots when it has fewer splits than slots.
+
+    A large input already has more splits than slots and is returned as
+    is; only a small input (one file, one row group) pays one cheap
+    exchange so that parsing work is not confined to one task.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, parallel: bool = True) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if parallel and name in FACT_TABLES else df
