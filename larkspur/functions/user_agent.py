@@ -64,6 +64,20 @@ def browser(ua: Column) -> Column:
     return _chain(ua, [(p, _render(ua, p, t)) for p, t in BROWSER_RULES])
 
 
+def os_rule(ua: Column) -> Column:
+    """Index of the first matching OS rule (-1: none / unknown input)."""
+    return _index(ua, [p for p, _, _ in OS_RULES])
+
+
+def _index(ua: Column, patterns: list[str]) -> Column:
+    known = ua.isNotNull() & (ua != "") & (ua != "null")
+    expr = None
+    for i, p in enumerate(patterns):
+        cond = known & ua.rlike(p)
+        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
+    return expr.otherwise(F.lit(-1))
+
+
 def os_name(ua: Column) -> Column:
     return _chain(ua, [(p, _render(ua, p, t)) for p, t, _ in OS_RULES])
 
@@ -72,10 +86,32 @@ def device(ua: Column) -> Column:
     return _chain(ua, [(p, F.lit(d)) for p, _, d in OS_RULES])
 
 
+def _os_from_rule(ua: Column, idx: Column) -> Column:
+    expr = None
+    for i, (p, t, _) in enumerate(OS_RULES):
+        v = _render(ua, p, t)
+        expr = F.when(idx == i, v) if expr is None else expr.when(idx == i, v)
+    return expr.otherwise(F.lit(UNKNOWN))
+
+
+def _device_from_rule(idx: Column) -> Column:
+    devices = F.array(*[F.lit(d) for _, _, d in OS_RULES], F.lit(UNKNOWN))
+    return F.element_at(devices, F.when(idx >= 0, idx + 1).otherwise(F.lit(len(OS_RULES) + 1)))
+
+
 def enrich(df, ua_col: str = "useragent"):
-    """Add device, os, browser columns (row preserving, no shuffle)."""
+    """Add device, os, browser columns (row preserving, no shuffle).
+
+    The OS rule is matched once per row into a helper column; OS text and
+    device both follow from that index, and only the matched rule's group
+    is extracted.
+    """
     ua = F.col(ua_col)
-    return df.withColumns({"device": device(ua), "os": os_name(ua), "browser": browser(ua)})
+    tmp = "__os_rule"
+    return (df.withColumn(tmp, os_rule(ua))
+            .withColumns({"device": _device_from_rule(F.col(tmp)), "os": _os_from_rule(ua, F.col(tmp)),
+                          "browser": browser(ua)})
+            .drop(tmp))
 
 
 # ------------------------------------------------------------ SQL rendering
