@@ -55,6 +55,28 @@ def explode_hashtags_created(records: DataFrame, keep: tuple[str, ...] = ("parti
                     F.date_format("created", hour_format).alias("hour"), "hashtag"))
 
 
+def with_quality_metrics(records: DataFrame, name: str = "status_quality"):
+    """Attach ``observe()`` metrics: records, unparseable statuses, statuses without hashtags.
+
+    Returns (frame, Observation); the metrics are filled by the first action
+    on the returned frame, at no extra pass over the data.
+    """
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    st = statuses.parse_status(F.col("value").cast("string"))
+    # Malformed JSON parses to a struct of NULL fields: "unparseable" = no status field recognised.
+    unparseable = F.lit(True)
+    for f in statuses.STATUS.fields:
+        unparseable = unparseable & st[f.name].isNull()
+    n_tags = F.coalesce(F.size(statuses.hashtag_texts(st)), F.lit(-1))
+    observed = records.observe(
+        obs,
+        F.count(F.lit(1)).alias("records"),
+        F.count(F.when(st.isNull() | unparseable, 1)).alias("unparseable"),
+        F.count(F.when(st.isNotNull() & ~unparseable & (n_tags <= 0), 1)).alias("without_hashtags"))
+    return observed, obs
+
+
 def hourly_counts(tags: DataFrame) -> DataFrame:
     """(date, hour, hashtag) -> cnt over exploded hashtag rows."""
     return tags.groupBy(*STATS_KEYS).agg(F.count(F.lit(1)).alias("cnt")).select(*STATS_KEYS, "cnt")

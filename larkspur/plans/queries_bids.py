@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from larkspur.functions import user_agent
 from larkspur.operators import bids as ops
-from larkspur.plans import layouts
+from larkspur.plans import catalog, layouts
 from larkspur.registry import register
 from larkspur.session import scratch_path
 from larkspur.sources import bids as src
@@ -99,8 +99,10 @@ def ua_lateral(spark, sf_dir):
 
 @register("user_agents_view", f"WITH {BIDS_SQL} SELECT cityid, device, os, browser FROM bids")
 def user_agents_view(spark, sf_dir):
-    ops.user_agents_view(bids(spark, sf_dir)).createOrReplaceTempView("user_agents")
-    return spark.sql("SELECT cityid, device, os, browser FROM user_agents")
+    db = catalog.ensure_database(spark, "logs", scratch_path(spark, "logs-db"))
+    with catalog.using_database(spark, db):
+        catalog.user_agents_view(spark, bids(spark, sf_dir))
+        return spark.sql("SELECT cityid, device, os, browser FROM user_agents")
 
 
 # --------------------------------------------------------- counts and ranks

@@ -52,6 +52,20 @@ def kafka_sink_options(servers: str, topic: str, checkpoint: str) -> dict[str, s
             "kafka.acks": "all"}
 
 
+def kafka_stream_sink(records: DataFrame, servers: str, topic: str, checkpoint: str,
+                      interval: str = "10 seconds") -> StreamingQuery:
+    """Continuously publish ``key``/``value`` records to a Kafka topic (connector jar needed)."""
+    return (records.select("key", "value").writeStream.format("kafka")
+            .options(**kafka_sink_options(servers, topic, checkpoint))
+            .trigger(processingTime=interval).start())
+
+
+def kafka_batch_sink(records: DataFrame, servers: str, topic: str) -> None:
+    """Publish a bounded frame of ``key``/``value`` records (e.g. inside ``foreachBatch``)."""
+    (records.select("key", "value").write.format("kafka")
+     .option("kafka.bootstrap.servers", servers).option("topic", topic).option("kafka.acks", "all").save())
+
+
 def stats_record_stream(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(STATS_RECORD_SCHEMA).parquet(path)
 

@@ -54,11 +54,11 @@ FROM tags GROUP BY 1, 2""")
 def stream_hashtag_windows(spark, sf_dir):
     topic = write_topic(spark, sf_dir)
     out, ckpt = scratch_path(spark, "s-windows"), scratch_path(spark, "ckpt")
-    hs.run(hs.event_windows(hs.record_stream(spark, topic), out, ckpt))
-    # Later arrivals: a control record moves event time past every open window;
-    # the next trigger (a second control record) then emits them.
-    for day, epoch in (("01", 4102444800), ("02", 4102531200)):
-        value = SENTINEL_VALUE.replace("Jan 01", f"Jan {day}")
+    # Control records move event time past every open window: the first arrives with the
+    # data, the second triggers the batch that evicts (emits) the windows behind the watermark.
+    controls = [SENTINEL_VALUE.replace("Jan 01", f"Jan {day}") for day in ("01", "02")]
+    epochs = [4102444800, 4102531200]
+    for value, epoch in zip(controls, epochs):
         spark.createDataFrame([("control", value, "statuses", 0, -1, epoch, 0)], RECORD_SCHEMA) \
             .write.mode("append").parquet(topic)
         hs.run(hs.event_windows(hs.record_stream(spark, topic), out, ckpt))

@@ -71,3 +71,26 @@ def test_keyword_hits_whole_tokens_case_insensitive(spark):
     got = {r.doc_id: r.n_hits for r in hashtags.keyword_hits(docs, ("big", "data", "ai", "machine",
                                                                   "learning", "course")).collect()}
     assert got == {1: 3, 3: 3}
+
+
+def test_hashtag_array_json_form(spark):
+    from larkspur.functions import statuses as fs
+    df = spark.createDataFrame([('[{"text":"AI","indices":[1,3]},{"text":"ML","indices":[5,8]}]',), ("[]",), ("x",)],
+                               "h string")
+    got = [r.t for r in df.select(fs.hashtag_texts_from_array_json(F.col("h")).alias("t")).collect()]
+    assert got == [["AI", "ML"], [], None]
+
+
+def test_quality_metrics_observed_in_the_same_pass(spark):
+    values = [status(["a"]), status([]), "{broken", status(drop=("entities",))]
+    observed, obs = hashtags.with_quality_metrics(recs(spark, values))
+    assert hashtags.batch_hourly_counts(observed).count() == 1
+    assert obs.get == {"records": 4, "unparseable": 1, "without_hashtags": 2}
+
+
+def test_records_csv_scan(spark, tmp_path):
+    from larkspur.sources import delimited
+    p = tmp_path / "batch.txt"
+    p.write_text('u1;{"entities":{"hashtags":[{"text":"spark","indices":[0,6]}]}};t;0;0;1704067200;0\n')
+    df = delimited.read_records_csv(spark, str(p))
+    assert [r.hashtag for r in hashtags.explode_hashtags(df, keep=()).collect()] == ["spark"]

@@ -41,3 +41,25 @@ def test_running_totals_state_is_bounded_by_watermark(spark, sf_dir):
     assert plan["numRowsTotal"] >= 0
     assert totals(hs.latest_totals(spark, out)) == totals(
         hashtags.hourly_counts(hashtags.explode_hashtags_created(records(spark, sf_dir), keep=())))
+
+
+def test_bounded_run_time_with_processing_time_trigger(spark, sf_dir):
+    topic = qs.write_topic(spark, sf_dir)
+    out, ckpt = scratch_path(spark, "t-timed"), scratch_path(spark, "t-ckpt")
+    q = hs.arrival_deltas(hs.record_stream(spark, topic, 3), out, ckpt, bounded=False, interval="1 second")
+    hs.run(q, timeout_s=20)
+    assert not q.isActive
+    assert spark.read.parquet(out).count() > 0
+
+
+def test_catalog_database_and_view(spark, sf_dir):
+    from larkspur.plans import catalog
+    from larkspur.plans.queries_bids import bids
+    before = spark.catalog.currentDatabase()
+    db = catalog.ensure_database(spark, "logs_t", scratch_path(spark, "t-db"))
+    with catalog.using_database(spark, db):
+        assert spark.catalog.currentDatabase() == "logs_t"
+        v = catalog.user_agents_view(spark, bids(spark, sf_dir), source_view="bids_t", view="ua_t")
+        assert v.columns == ["cityid", "device", "os", "browser"]
+        assert v.count() == spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    assert spark.catalog.currentDatabase() == before
