@@ -75,6 +75,22 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def _app_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/larkspur-work/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique path below the shared folder (never reused)."""
-    return f"{shared_dir(spark)}/larkspur-work/{name}-{uuid.uuid4().hex[:12]}"
+    """A new, unique path below this application's folder in the shared dir."""
+    return f"{_app_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch folder (call when its results are no longer read).
+
+    Uses the Hadoop FileSystem of the path, so it works on any shared storage.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_app_root(spark))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)

@@ -16,6 +16,8 @@ def spark():
     s = get_session("local[4]", shuffle_partitions=4)
     s.sparkContext.setLogLevel("ERROR")
     yield s
+    from larkspur.session import drop_scratch
+    drop_scratch(s)
 
 
 @pytest.fixture(scope="session")

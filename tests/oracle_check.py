@@ -80,6 +80,8 @@ def main():
         bad += not ok
         print(msg, flush=True)
     print(f"failed: {bad}")
+    from larkspur.session import drop_scratch
+    drop_scratch(spark)
     return bad
 
 
