@@ -33,18 +33,25 @@ def ensure_archive(spark: SparkSession, root: str) -> None:
             .partitionBy(*PARTITION_COLS).parquet(root)
 
 
-def write_partitions(stats: DataFrame, root: str) -> None:
+def write_partitions(stats: DataFrame, root: str, fresh: bool = False) -> None:
     """Overwrite exactly the (date, hour) partitions present in ``stats``.
 
+    ``fresh=True`` creates a new archive: a plain write that fails if the
+    root exists, without the staging and per-partition moves of a dynamic
+    overwrite.
+
     Rows are hash-partitioned on (date, hour) first so each hour is one
     file written by one task, and all writer tasks run in parallel.  The
     rows are already aggregated (one per hashtag and hour), so a hot hour is
     bounded by its distinct hashtags, not by its raw message count.
     """
     n = int(stats.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (stats.select(*hashtags.STATS_KEYS, "cnt").repartition(n, *PARTITION_COLS)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*PARTITION_COLS).parquet(root))
+    w = stats.select(*hashtags.STATS_KEYS, "cnt").repartition(n, *PARTITION_COLS).write
+    if fresh:
+        w = w.mode("errorifexists")
+    else:
+        w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    w.partitionBy(*PARTITION_COLS).parquet(root)
 
 
 def archived_for(spark: SparkSession, batch: DataFrame, root: str) -> tuple[DataFrame, int]:

@@ -107,7 +107,7 @@ SELECT a.date, a.hour, a.hashtag, CAST(a.cnt AS BIGINT) AS cnt FROM arch a SEMI
 def archive_partition_lookup(spark, sf_dir):
     arch, batch = _archive_and_batch(spark, sf_dir)
     root = scratch_path(spark, "hashtag-archive")
-    archive.write_partitions(arch, root)
+    archive.write_partitions(arch, root, fresh=True)
     looked_up, _ = archive.archived_for(spark, batch, root)
     return looked_up
 
@@ -119,7 +119,7 @@ GROUP BY date, hour, hashtag""")
 def hashtag_archive_merge(spark, sf_dir):
     arch, batch = _archive_and_batch(spark, sf_dir)
     root = scratch_path(spark, "hashtag-archive")
-    archive.write_partitions(arch, root)
+    archive.write_partitions(arch, root, fresh=True)
     looked_up, _ = archive.archived_for(spark, batch, root)
     return hashtags.merge_counts(batch, looked_up)
 
@@ -131,7 +131,7 @@ GROUP BY date, hour, hashtag""")
 def hashtag_partition_upsert(spark, sf_dir):
     arch, batch = _archive_and_batch(spark, sf_dir)
     root = scratch_path(spark, "hashtag-archive")
-    archive.write_partitions(arch, root)
+    archive.write_partitions(arch, root, fresh=True)
     archive.upsert(spark, batch, root)
     return archive.read_archive(spark, root)
 
