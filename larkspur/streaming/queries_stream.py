@@ -19,8 +19,8 @@ from larkspur.session import scratch_path
 from larkspur.sources.topic import RECORD_SCHEMA
 from larkspur.streaming import hashtag_stream as hs
 
-FILES_PER_TRIGGER = 2
-TOPIC_FILES = 6
+MIN_TOPIC_FILES = 6
+TRIGGERS = 3          # micro-batches per bounded run of a multi-batch query
 # Control record: a status far in the future without hashtags; it only moves
 # event time forward so the last open windows close.
 SENTINEL_VALUE = '{"created_at":"Fri Jan 01 00:00:00 +0000 2100","entities":{"hashtags":[]}}'
@@ -30,20 +30,33 @@ SELECT date, hour, hashtag, count(*) AS cnt FROM tags GROUP BY date, hour, hasht
 
 
 def write_topic(spark: SparkSession, sf_dir: str, where=None, path: str | None = None) -> str:
-    """Publish status records as Parquet files (several files -> several triggers)."""
+    """Publish status records as Parquet files under a topic folder.
+
+    The files follow the input's own partitioning (at least a few files, so a
+    bounded run has several micro-batches); nothing is funnelled into a fixed
+    small number of writers.
+    """
     path = path or scratch_path(spark, "topic")
     rec = records(spark, sf_dir)
     if where is not None:
         rec = rec.where(where)
-    rec.repartition(TOPIC_FILES).write.mode("append").parquet(path)
+    if rec.rdd.getNumPartitions() < MIN_TOPIC_FILES:
+        rec = rec.repartition(MIN_TOPIC_FILES)
+    rec.write.mode("append").parquet(path)
     return path
 
 
+def files_per_trigger(spark: SparkSession, topic: str) -> int:
+    """Files per micro-batch so that the topic's current files make about TRIGGERS batches."""
+    n = len(spark.read.schema(RECORD_SCHEMA).parquet(topic).inputFiles())
+    return max(1, -(-n // TRIGGERS))
+
+
 @register("stream_hashtag_deltas", _COUNTS_SQL)
 def stream_hashtag_deltas(spark, sf_dir):
     topic = write_topic(spark, sf_dir)
     out, ckpt = scratch_path(spark, "s1-records"), scratch_path(spark, "ckpt")
-    hs.run(hs.arrival_deltas(hs.record_stream(spark, topic, FILES_PER_TRIGGER), out, ckpt))
+    hs.run(hs.arrival_deltas(hs.record_stream(spark, topic, files_per_trigger(spark, topic)), out, ckpt))
     return hs.decoded_totals(spark, out)
 
 
@@ -76,7 +89,7 @@ def stream_hashtag_totals(spark, sf_dir):
 def _two_stage(spark, sf_dir) -> str:
     topic = write_topic(spark, sf_dir)
     s1, s2 = scratch_path(spark, "s1-records"), scratch_path(spark, "s2-rollup")
-    hs.run(hs.arrival_deltas(hs.record_stream(spark, topic, FILES_PER_TRIGGER), s1,
+    hs.run(hs.arrival_deltas(hs.record_stream(spark, topic, files_per_trigger(spark, topic)), s1,
                              scratch_path(spark, "ckpt")))
     hs.run(hs.rollup_stage(hs.stats_record_stream(spark, s1), s2, scratch_path(spark, "ckpt")))
     return s2
@@ -100,9 +113,9 @@ def stream_restart(spark, sf_dir):
     """Stop after the first topic partitions, restart from the checkpoint when the rest arrives."""
     topic = write_topic(spark, sf_dir, where=F.col("partition") != 2)
     out, ckpt = scratch_path(spark, "s1-records"), scratch_path(spark, "ckpt")
-    hs.run(hs.arrival_deltas(hs.record_stream(spark, topic, FILES_PER_TRIGGER), out, ckpt))
+    hs.run(hs.arrival_deltas(hs.record_stream(spark, topic, files_per_trigger(spark, topic)), out, ckpt))
     write_topic(spark, sf_dir, where=F.col("partition") == 2, path=topic)
-    hs.run(hs.arrival_deltas(hs.record_stream(spark, topic, FILES_PER_TRIGGER), out, ckpt))
+    hs.run(hs.arrival_deltas(hs.record_stream(spark, topic, files_per_trigger(spark, topic)), out, ckpt))
     return hs.decoded_totals(spark, out)
 
 
@@ -110,5 +123,5 @@ def stream_restart(spark, sf_dir):
 def stream_archive_merge(spark, sf_dir):
     topic = write_topic(spark, sf_dir)
     root, ckpt = scratch_path(spark, "s-archive"), scratch_path(spark, "ckpt")
-    hs.run(hs.archive_merge(hs.record_stream(spark, topic, FILES_PER_TRIGGER), root, ckpt))
+    hs.run(hs.archive_merge(hs.record_stream(spark, topic, files_per_trigger(spark, topic)), root, ckpt))
     return hs.archive_totals(spark, root)
