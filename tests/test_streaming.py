@@ -63,3 +63,37 @@ def test_catalog_database_and_view(spark, sf_dir):
         assert v.columns == ["cityid", "device", "os", "browser"]
         assert v.count() == spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
     assert spark.catalog.currentDatabase() == before
+
+
+def _status_record(created, tags, offset):
+    import json
+    v = json.dumps({"created_at": created, "entities": {"hashtags": [{"text": t, "indices": [0, 1]} for t in tags]}})
+    return ("u", v, "tw", 0, offset, 0, 0)
+
+
+def test_event_windows_drop_data_behind_the_watermark(spark):
+    from larkspur.sources.topic import RECORD_SCHEMA
+    topic, out, ckpt = scratch_path(spark, "t-topic"), scratch_path(spark, "t-win"), scratch_path(spark, "t-ckpt")
+    batches = [
+        [_status_record("Mon Jan 01 10:00:10 +0000 2024", ["a"], 0),
+         _status_record("Mon Jan 01 10:01:00 +0000 2024", ["a", "b"], 1)],
+        [_status_record("Mon Jan 01 11:00:00 +0000 2024", [], 2)],            # moves event time
+        [_status_record("Mon Jan 01 10:02:00 +0000 2024", ["a"], 3),          # late: behind the watermark
+         _status_record("Mon Jan 01 12:00:00 +0000 2024", [], 4)],
+    ]
+    for rows in batches:
+        spark.createDataFrame(rows, RECORD_SCHEMA).write.mode("append").parquet(topic)
+        hs.run(hs.event_windows(hs.record_stream(spark, topic), out, ckpt, length="3 minutes", delay="10 minutes"))
+    got = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    # The late "a" at 10:02 falls in the already-closed 10:00 window and is not counted.
+    assert got == [("2024-01-01 10:00:00", "a", 2), ("2024-01-01 10:00:00", "b", 1)]
+
+
+def test_ledger_compaction_into_hour_archive(spark, sf_dir):
+    from larkspur.plans import archive
+    topic = qs.write_topic(spark, sf_dir)
+    root, ckpt, arch = scratch_path(spark, "t-ledger"), scratch_path(spark, "t-ckpt"), scratch_path(spark, "t-arch")
+    hs.run(hs.archive_merge(hs.record_stream(spark, topic, 4), root, ckpt))
+    n = hs.compact(spark, root, arch)
+    assert n == hashtags.active_hours(hs.archive_totals(spark, root)).count()
+    assert totals(archive.read_archive(spark, arch)) == totals(hs.archive_totals(spark, root))

@@ -41,3 +41,11 @@ def test_ios_precedes_mac(spark):
                                "useragent string")
     r = user_agent.enrich(df).select("device", "os").collect()[0]
     assert (r.device, r.os) == ("Mobile", "iOS 9 (iPhone)")
+
+
+@pytest.mark.parametrize("call", ["parse_ua()", "parse_ua('a', 'b')"])
+def test_table_function_takes_exactly_one_argument(spark, call):
+    from pyspark.errors import AnalysisException
+    user_agent.register_sql_function(spark)
+    with pytest.raises(AnalysisException):
+        spark.sql(f"SELECT * FROM {call}").collect()
