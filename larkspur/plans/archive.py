@@ -56,7 +56,9 @@ def write_partitions(stats: DataFrame, root: str, fresh: bool = False) -> None:
 
 def archived_for(spark: SparkSession, batch: DataFrame, root: str) -> tuple[DataFrame, int]:
     """Archive rows of the hours touched by ``batch`` and the touched-hour count."""
-    hours = hashtags.active_hours(batch)
+    # The key frame is small (one row per touched hour): cache it so the count
+    # and the join read the batch aggregation once.
+    hours = hashtags.active_hours(batch).persist(StorageLevel.MEMORY_AND_DISK)
     n_hours = hours.count()
     return hashtags.touched(read_archive(spark, root), hours, n_hours), n_hours
 
