@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from larkspur.functions import user_agent
 from larkspur.sources.bids import EXPECTED_UA, USER_AGENTS
