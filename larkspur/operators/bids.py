@@ -17,10 +17,23 @@ def user_agents_view(bids: DataFrame) -> DataFrame:
 
 
 def value_counts(view: DataFrame, attr: str) -> DataFrame:
-    """COUNT(attr) per (cityid, attr)."""
+    """COUNT(attr) per (cityid, attr) over an already parsed view."""
     return view.groupBy("cityid", attr).agg(F.count(attr).alias("cnt"))
 
 
+def city_value_counts(bids: DataFrame, attr: str) -> DataFrame:
+    """COUNT(attr) per (cityid, attr) straight from bids.
+
+    Bids are first counted per (cityid, useragent) (map-side partial
+    aggregation), so the user-agent rules run once per distinct pair instead
+    of once per bid.  The attribute is never NULL (unknown -> "Unknown"), so
+    summing the pair counts equals COUNT(attr).
+    """
+    pre = bids.groupBy("cityid", "useragent").agg(F.count(F.lit(1)).alias("n"))
+    return (user_agent.enrich(pre).groupBy("cityid", attr)
+            .agg(F.sum("n").cast("bigint").alias("cnt")))
+
+
 def top_per_city(counts: DataFrame, attr: str) -> DataFrame:
     """Rank-1 value per city by count (ties: smallest value first).
 

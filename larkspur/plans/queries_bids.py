@@ -109,14 +109,14 @@ def user_agents_view(spark, sf_dir):
 
 def _counts(attr):
     def q(spark, sf_dir):
-        return ops.value_counts(ops.user_agents_view(bids(spark, sf_dir)), attr)
+        return ops.city_value_counts(bids(spark, sf_dir), attr)
     q.__name__ = f"city_{attr}_counts"
     return q
 
 
 def _top(attr):
     def q(spark, sf_dir):
-        return ops.top_per_city(ops.value_counts(ops.user_agents_view(bids(spark, sf_dir)), attr), attr)
+        return ops.top_per_city(ops.city_value_counts(bids(spark, sf_dir), attr), attr)
     q.__name__ = f"city_top_{attr}"
     return q
 

@@ -49,3 +49,26 @@ def test_tsv_round_trip_keeps_empty_and_null(spark):
     delimited.write_tsv(df, path)
     got = sorted((tuple(r) for r in read_bids_tsv(spark, path).collect()), key=str)
     assert sorted([row, row2], key=str) == got
+
+
+def test_flagship_plan_shape(spark, sf_dir):
+    """Scan prunes to the needed columns; UA rules run after the (cityid, useragent)
+    pre-aggregate; the rank is a WindowGroupLimit; cities are broadcast."""
+    import __spark_entry__ as ent
+    df = ent.queries()["city_top_profile"](spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+    schemas = [ln for ln in plan.splitlines() if "ReadSchema" in ln and "l_orderkey" in ln]
+    assert schemas and all("l_extendedprice" not in ln and "l_shipdate" not in ln for ln in schemas)
+    # The regex chain sits above the first aggregation, never directly over the scan.
+    opt = df._jdf.queryExecution().optimizedPlan().toString()
+    first_rlike = opt.find("RLIKE")
+    last_agg = opt.rfind("Aggregate [cityid")
+    assert first_rlike != -1 and last_agg != -1 and first_rlike < last_agg
+
+
+def test_counts_parse_distinct_pairs_only(spark):
+    bids = spark.createDataFrame([("1", CHROME)] * 5 + [("1", IPAD), ("2", FOX)], "cityid string, useragent string")
+    got = sorted(tuple(r) for r in ops.city_value_counts(bids, "device").collect())
+    assert got == [("1", "Computer", 5), ("1", "Tablet", 1), ("2", "Computer", 1)]
