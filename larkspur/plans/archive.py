@@ -63,9 +63,32 @@ def archived_for(spark: SparkSession, batch: DataFrame, root: str) -> tuple[Data
     return hashtags.touched(read_archive(spark, root), hours, n_hours), n_hours
 
 
-def upsert(spark: SparkSession, batch: DataFrame, root: str) -> int:
-    """Merge batch counts into the archive; returns the number of touched hours."""
+LEDGER = "_ledger"   # leading underscore: invisible to readers of the archive data
+
+
+def _ledger_has(spark: SparkSession, root: str, batch_id: str) -> bool:
+    try:
+        led = spark.read.schema("batch_id string").parquet(f"{root}/{LEDGER}")
+    except AnalysisException:
+        return False
+    return not led.where(led.batch_id == batch_id).isEmpty()
+
+
+def _ledger_add(spark: SparkSession, root: str, batch_id: str) -> None:
+    spark.createDataFrame([(batch_id,)], "batch_id string").coalesce(1) \
+        .write.mode("append").parquet(f"{root}/{LEDGER}")
+
+
+def upsert(spark: SparkSession, batch: DataFrame, root: str, batch_id: str | None = None) -> int:
+    """Merge batch counts into the archive; returns the number of touched hours.
+
+    With a ``batch_id`` the merge is recorded in the archive's ledger and a
+    batch already recorded is skipped, so re-running a finished batch does not
+    count it twice.
+    """
     ensure_archive(spark, root)
+    if batch_id is not None and _ledger_has(spark, root, batch_id):
+        return 0
     batch = batch.select(*hashtags.STATS_KEYS, "cnt").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         archived, n_hours = archived_for(spark, batch, root)
@@ -77,6 +100,8 @@ def upsert(spark: SparkSession, batch: DataFrame, root: str) -> int:
         staged = scratch_path(spark, "archive-stage")
         merged.write.parquet(staged)
         write_partitions(spark.read.schema(hashtags.STATS_SCHEMA).parquet(staged), root)
+        if batch_id is not None:
+            _ledger_add(spark, root, batch_id)
         return n_hours
     finally:
         batch.unpersist()

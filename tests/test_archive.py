@@ -47,3 +47,12 @@ def test_merge_is_order_insensitive(spark):
     b = spark.createDataFrame([("d", "01", "x", 5)], SCHEMA)
     assert rows(hashtags.merge_counts(a, b)) == rows(hashtags.merge_counts(b, a)) == [
         ("d", "01", "x", 6), ("d", "01", "y", 2)]
+
+
+def test_replayed_batch_is_skipped_by_the_ledger(spark):
+    root = scratch_path(spark, "t-archive-ledger")
+    batch = spark.createDataFrame([("2024-01-01", "09", "a", 3)], SCHEMA)
+    assert archive.upsert(spark, batch, root, batch_id="b-1") == 1
+    assert archive.upsert(spark, batch, root, batch_id="b-1") == 0          # replay: no double count
+    assert archive.upsert(spark, batch, root, batch_id="b-2") == 1
+    assert rows(archive.read_archive(spark, root)) == [("2024-01-01", "09", "a", 6)]
