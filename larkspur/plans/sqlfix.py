@@ -20,5 +20,8 @@ tags AS (
    WHERE event_type <> 'error' AND event_id % 50 NOT IN (7, 13, 17, 21) AND k IS NOT NULL
   UNION ALL
   SELECT "partition", "offset", date, hour, ts, event_type FROM e
-   WHERE event_type = 'purchase' AND event_id % 50 NOT IN (7, 13, 17, 21))
+   WHERE event_type = 'purchase' AND event_id % 50 NOT IN (7, 13, 17, 21)
+  UNION ALL
+  SELECT "partition", "offset", date, hour, ts, 'k;' || CAST(k % 7 AS VARCHAR) FROM e
+   WHERE event_type <> 'error' AND event_id % 50 = 41 AND k IS NOT NULL)
 """

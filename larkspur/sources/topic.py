@@ -42,7 +42,9 @@ def status_records(events: DataFrame, topic: str = STATUS_TOPIC,
     * hashtags: ``event_type`` and ``k<props.k>``; a purchase repeats its
       event type; ``error`` events carry an empty list;
     * ``event_id % 50``: 7 = malformed JSON, 13 = no ``entities.hashtags``,
-      17 = no ``entities``, 21 = a tag without text before the event type;
+      17 = no ``entities``, 21 = a tag without text before the event type,
+      33 = a nested ``retweeted_status`` with its own (ignored) hashtag,
+      41 = an extra tag ``k;<k % 7>`` containing the stats delimiter;
     * place: ``user_id % 3`` 0 = US, 1 = GB (odd users: no country code),
       2 = no place;
     * round-robin partitioning: partition = event_id % partitions,
@@ -59,12 +61,17 @@ def status_records(events: DataFrame, topic: str = STATUS_TOPIC,
                         F.array(F.lit(0).cast("bigint"), (F.length(text) + 1).cast("bigint")).alias("indices"))
 
     k_tag = F.concat(F.lit("k"), F.col("k").cast("string"))
+    semi_tag = F.concat(F.lit("k;"), (F.col("k") % 7).cast("string"))
+    base = F.when(et == "purchase", F.array(tag(et), tag(k_tag), tag(et))).otherwise(F.array(tag(et), tag(k_tag)))
     tags = (F.when(et == "error", F.array().cast(T.ArrayType(_tag_type())))
             .when(m == 13, F.lit(None).cast(T.ArrayType(_tag_type())))
             .when(m == 21, F.array(tag(F.lit(None).cast("string")), tag(et)))
-            .when(et == "purchase", F.array(tag(et), tag(k_tag), tag(et)))
-            .otherwise(F.array(tag(et), tag(k_tag))))
+            .when(m == 41, F.concat(base, F.array(tag(semi_tag))))
+            .otherwise(base))
     entities = F.when(m == 17, F.lit(None)).otherwise(F.struct(tags.alias("hashtags")))
+    # A quoted (nested) status carries hashtags of its own, which must not be counted.
+    nested = F.when(m == 33, F.struct(F.struct(F.array(tag(F.concat(F.lit("rt"), et))).alias("hashtags"))
+                                      .alias("entities")))
     place = (F.when(F.col("user_id") % 3 == 0, F.struct(F.lit("US").alias("country_code")))
              .when((F.col("user_id") % 3 == 1) & (F.col("user_id") % 2 == 0),
                    F.struct(F.lit("GB").alias("country_code")))
@@ -76,6 +83,7 @@ def status_records(events: DataFrame, topic: str = STATUS_TOPIC,
         F.struct(name.alias("name")).alias("user"),
         place.alias("place"),
         entities.alias("entities"),
+        nested.alias("retweeted_status"),
     )
     value = F.when(m == 7, F.concat(F.lit('{"created_at": "broken'), F.col("event_id").cast("string"))) \
         .otherwise(F.to_json(status))
