@@ -44,11 +44,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the session settings the library relies on (idempotent).
 
-    UTC keeps date/hour derivations engine independent; dynamic partition
-    overwrite makes every partitioned write an upsert of touched partitions.
+    UTC keeps date/hour derivations engine independent.  Partition overwrite
+    mode is not changed here: every partitioned write sets it explicitly.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     shared_dir(spark)
     return spark

@@ -56,3 +56,23 @@ def test_replayed_batch_is_skipped_by_the_ledger(spark):
     assert archive.upsert(spark, batch, root, batch_id="b-1") == 0          # replay: no double count
     assert archive.upsert(spark, batch, root, batch_id="b-2") == 1
     assert rows(archive.read_archive(spark, root)) == [("2024-01-01", "09", "a", 6)]
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+_rows = st.lists(st.tuples(st.sampled_from(["d1", "d2"]), st.sampled_from(["00", "09"]),
+                           st.sampled_from(["a", "b;c", "é"]), st.integers(min_value=1, max_value=50)),
+                 min_size=0, max_size=6)
+
+
+@settings(max_examples=10, deadline=None)
+@given(_rows, _rows, _rows)
+def test_merge_is_associative_and_commutative(spark, a, b, c):
+    A, B, C = (spark.createDataFrame(x, SCHEMA) for x in (a, b, c))
+    left = rows(hashtags.merge_counts(hashtags.merge_counts(A, B), C))
+    right = rows(hashtags.merge_counts(A, hashtags.merge_counts(C, B)))
+    assert left == right
+    expected = {}
+    for d, h, t, n in a + b + c:
+        expected[(d, h, t)] = expected.get((d, h, t), 0) + n
+    assert left == sorted((k[0], k[1], k[2], v) for k, v in expected.items())
