@@ -90,16 +90,20 @@ def keyword_track_filter(spark, sf_dir):
     return hashtags.keyword_hits(table(spark, sf_dir, "documents"), TRACKED_KEYWORDS)
 
 
-@register("topic_offset_slice", """SELECT "partition", "offset", key FROM (
+@register("topic_offset_slice", """SELECT "partition", "offset", key,
+  CAST(("offset" - CASE "partition" WHEN 0 THEN 100 WHEN 1 THEN 150 ELSE 200 END) // 1000 AS BIGINT) AS slice
+FROM (
   SELECT CAST(event_id % 3 AS INTEGER) AS "partition", CAST(event_id // 3 AS BIGINT) AS "offset",
          'user' || CAST(user_id AS VARCHAR) AS key FROM events)
-WHERE ("partition" = 0 AND "offset" >= 100 AND "offset" < 1100)
-   OR ("partition" = 1 AND "offset" >= 150 AND "offset" < 1150)
-   OR ("partition" = 2 AND "offset" >= 200 AND "offset" < 1200)""")
+WHERE "offset" >= CASE "partition" WHEN 0 THEN 100 WHEN 1 THEN 150 ELSE 200 END""")
 def topic_offset_slice(spark, sf_dir):
+    """The whole topic consumed in consecutive offset slices of SLICE_BATCH records."""
+    _, start = topic.parse_offsets(SLICE_START)
+    per_partition = SLICE_BATCH // len(start)
     end = topic.end_offsets(SLICE_START, SLICE_BATCH)
     ranges = topic.offset_ranges(spark, SLICE_START, end)
-    return topic.slice_records(records(spark, sf_dir), ranges).select("partition", "offset", "key")
+    return topic.assign_slices(records(spark, sf_dir), ranges, per_partition) \
+        .select("partition", "offset", "key", "slice")
 
 
 @register("archive_partition_lookup", _ARCH_BATCH_SQL + """

@@ -181,6 +181,22 @@ def slice_records(records: DataFrame, ranges: DataFrame) -> DataFrame:
     return records.alias("rec").join(r, cond, "left_semi")
 
 
+def assign_slices(records: DataFrame, ranges: DataFrame, per_partition: int) -> DataFrame:
+    """Every record from its partition's start offset on, with the number of the
+    consecutive slice (batch) that reads it: ``(offset - start) div per_partition``.
+
+    The whole topic is consumed in fixed-size slices, as the polling batch job
+    does; ``ranges`` is one row per partition (broadcast, bounded by the
+    partition count).
+    """
+    r = F.broadcast(ranges.select("topic", "partition", "start_offset").alias("r"))
+    cond = ((F.col("rec.topic") == F.col("r.topic")) & (F.col("rec.partition") == F.col("r.partition"))
+            & (F.col("rec.offset") >= F.col("r.start_offset")))
+    return (records.alias("rec").join(r, cond, "inner")
+            .select("rec.*", F.floor((F.col("rec.offset") - F.col("r.start_offset")) / F.lit(per_partition))
+                    .cast("bigint").alias("slice")))
+
+
 def read_topic_batch(spark: SparkSession, servers: str, topic: str,
                      start_json: str, end_json: str) -> DataFrame:
     """Bounded batch read from a Kafka topic (needs the Kafka connector jar)."""

@@ -42,3 +42,13 @@ def test_slice_plan_broadcasts_the_ranges_only(spark):
     plan = topic.slice_records(recs, topic.offset_ranges(spark, start, topic.end_offsets(start, 30))) \
         ._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastExchange" in plan or "BroadcastNestedLoopJoin" in plan or "BroadcastHashJoin" in plan
+
+
+def test_assign_slices_numbers_consecutive_batches(spark):
+    recs = spark.createDataFrame(
+        [("k", "v", "tw", p, o, 0, 0) for p in range(2) for o in range(10)], topic.RECORD_SCHEMA)
+    start = '{"tw": {"0": 2, "1": 5}}'
+    ranges = topic.offset_ranges(spark, start, topic.end_offsets(start, 6))
+    got = sorted((r.partition, r.offset, r.slice) for r in topic.assign_slices(recs, ranges, 3).collect())
+    assert got[:4] == [(0, 2, 0), (0, 3, 0), (0, 4, 0), (0, 5, 1)]
+    assert [g for g in got if g[0] == 1] == [(1, 5, 0), (1, 6, 0), (1, 7, 0), (1, 8, 1), (1, 9, 1)]
