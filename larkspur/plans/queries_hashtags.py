@@ -18,8 +18,8 @@ from larkspur.sources.tables import table
 TRACKED_KEYWORDS = ("big", "data", "ai", "machine", "learning", "course")
 SLICE_START = '{"statuses": {"0": 100, "1": 150, "2": 200}}'
 SLICE_BATCH = 3000
-BATCH_PARTITION = 2            # archive = topic partitions 0 and 1; batch = partition 2 ...
-BATCH_SINCE = "2024-01-21"     # ... from this day on
+BATCH_PARTITION = 2            # batch = topic partition 2 from BATCH_SINCE on;
+BATCH_SINCE = "2024-01-21"     # the archive holds every other record
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,14 +28,15 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _archive_and_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rec = records(spark, sf_dir)
-    arch = rec.where(F.col("partition") != BATCH_PARTITION)
     since = F.unix_seconds(F.to_timestamp(F.lit(BATCH_SINCE)))
-    batch = rec.where((F.col("partition") == BATCH_PARTITION) & (F.col("timestamp") >= since))
+    in_batch = (F.col("partition") == BATCH_PARTITION) & (F.col("timestamp") >= since)
+    arch, batch = rec.where(~in_batch), rec.where(in_batch)
     return hashtags.batch_hourly_counts(arch), hashtags.batch_hourly_counts(batch)
 
 
 _ARCH_BATCH_SQL = f"""WITH {STATUS_TAGS},
-arch AS (SELECT date, hour, hashtag, count(*) AS cnt FROM tags WHERE "partition" <> 2 GROUP BY ALL),
+arch AS (SELECT date, hour, hashtag, count(*) AS cnt FROM tags
+         WHERE NOT ("partition" = 2 AND ts >= TIMESTAMP '2024-01-21') GROUP BY ALL),
 batch AS (SELECT date, hour, hashtag, count(*) AS cnt FROM tags
           WHERE "partition" = 2 AND ts >= TIMESTAMP '2024-01-21' GROUP BY ALL),
 hrs AS (SELECT DISTINCT date, hour FROM batch)
