@@ -24,6 +24,21 @@ def read_archive(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(hashtags.STATS_SCHEMA).parquet(root).select(*hashtags.STATS_KEYS, "cnt")
 
 
+def read_hours(spark: SparkSession, root: str, hours: list[tuple[str, str]]) -> DataFrame:
+    """Archive rows of an explicit list of (date, hour) partitions.
+
+    The list becomes a partition-column predicate, so only those folders are
+    listed and read (static partition pruning); absent hours give no rows.
+    """
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+    if not hours:
+        return read_archive(spark, root).limit(0)
+    cond = reduce(lambda a, b: a | b, [(F.col("date") == d) & (F.col("hour") == h) for d, h in hours])
+    return read_archive(spark, root).where(cond)
+
+
 def ensure_archive(spark: SparkSession, root: str) -> None:
     """Create an empty archive root when there is none yet."""
     try:

@@ -8,6 +8,7 @@ count, sort columns, compression, bloom filters).  Tables are external
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,12 @@ def bucket_id(col: str, buckets: int):
     return F.pmod(F.hash(F.col(col)), F.lit(buckets))
 
 
+def rebalanced(df: DataFrame, partition_by: str | None, bucket_by: str, buckets: int) -> DataFrame:
+    """REBALANCE rows on (partition value, bucket id) before a bucketed write."""
+    staged = df.withColumn("__bucket", bucket_id(bucket_by, buckets))
+    return staged.hint("rebalance", *([partition_by] if partition_by else []), "__bucket").drop("__bucket")
+
+
 def write_layout(spark: SparkSession, df: DataFrame, name: str, fmt: str = "orc",
                  partition_by: str | None = "bid_date", buckets: int = 4, bucket_by: str = "cityid",
                  sort_by: tuple[str, ...] = ("useragent",), compression: str | None = None,
@@ -33,9 +40,7 @@ def write_layout(spark: SparkSession, df: DataFrame, name: str, fmt: str = "orc"
     """
     table = f"{name}_{uuid.uuid4().hex[:10]}"
     path = path or scratch_path(spark, name)
-    keys = ([F.col(partition_by)] if partition_by else []) + [bucket_id(bucket_by, buckets)]
-    staged = df.withColumn("__bucket", keys[-1])
-    staged = staged.hint("rebalance", *([partition_by] if partition_by else []), "__bucket").drop("__bucket")
+    staged = rebalanced(df, partition_by, bucket_by, buckets)
     w = staged.write.format(fmt).mode("overwrite").option("path", path)
     if fmt == "csv":
         # TAB-separated; NULL as \N, an empty string stays "" (quoted) so both survive a re-read.
@@ -48,3 +53,32 @@ def write_layout(spark: SparkSession, df: DataFrame, name: str, fmt: str = "orc"
         w = w.partitionBy(partition_by)
     w.bucketBy(buckets, bucket_by).sortBy(*sort_by).saveAsTable(table)
     return table
+
+
+@contextmanager
+def dynamic_partition_overwrite(spark: SparkSession):
+    """Session-scoped dynamic partition overwrite.
+
+    ``insertInto`` ignores a per-write ``partitionOverwriteMode`` option and
+    follows the session setting, where the static default would delete every
+    partition not present in the new data.
+    """
+    key = "spark.sql.sources.partitionOverwriteMode"
+    prev = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, prev)
+
+
+def insert_overwrite(spark: SparkSession, df: DataFrame, table: str, partition_by: str | None = None,
+                     bucket_by: str | None = None, buckets: int | None = None) -> None:
+    """INSERT OVERWRITE with dynamic partitions: only the partitions present in
+    ``df`` are replaced (e.g. loading a new day); columns are matched by name.
+    With the table's bucket spec given, rows are rebalanced like ``write_layout``."""
+    cols = spark.table(table).columns
+    if bucket_by and buckets:
+        df = rebalanced(df, partition_by, bucket_by, buckets)
+    with dynamic_partition_overwrite(spark):
+        df.select(*cols).write.mode("overwrite").insertInto(table)

@@ -178,7 +178,7 @@ def partition_key_profile(spark, sf_dir):
 # ------------------------------------------------------ layouts (S15-S22)
 
 def _layout_query(name, fmt, partition_by, buckets, sort_by=("useragent",), compression=None,
-                  enriched=False, region_tinyint=False, rename_domain=False, bloom=()):
+                  enriched=False, region_tinyint=False, rename_domain=False, bloom=(), via_insert=False):
     def q(spark, sf_dir):
         df = ops.with_bid_date(bids(spark, sf_dir))
         if enriched:
@@ -189,8 +189,15 @@ def _layout_query(name, fmt, partition_by, buckets, sort_by=("useragent",), comp
             df = df.withColumnRenamed("publicdomain", "domain")
         if partition_by != "bid_date":
             df = df.drop("bid_date")
-        t = layouts.write_layout(spark, df, name, fmt=fmt, partition_by=partition_by, buckets=buckets,
-                                 sort_by=sort_by, compression=compression, bloom_columns=bloom)
+        if via_insert:
+            # CREATE TABLE (empty) then INSERT OVERWRITE ... PARTITION(bid_date) SELECT ...
+            t = layouts.write_layout(spark, df.limit(0), name, fmt=fmt, partition_by=partition_by,
+                                     buckets=buckets, sort_by=sort_by, compression=compression,
+                                     bloom_columns=bloom)
+            layouts.insert_overwrite(spark, df, t, partition_by=partition_by, bucket_by="cityid", buckets=buckets)
+        else:
+            t = layouts.write_layout(spark, df, name, fmt=fmt, partition_by=partition_by, buckets=buckets,
+                                     sort_by=sort_by, compression=compression, bloom_columns=bloom)
         out = ["bidid", "cityid", "useragent", partition_by] + (list(ops.ATTRS) if enriched else [])
         return spark.table(t).select(*out)
     q.__name__ = name
@@ -209,7 +216,7 @@ register("bids_layout_region", _layout_sql("regionid"))(
 register("bids_layout_enriched", _layout_sql("bid_date", enriched=True))(
     _layout_query("bids_layout_enriched", "csv", "bid_date", 4, enriched=True))
 register("bids_layout_orc", _layout_sql("bid_date"))(
-    _layout_query("bids_layout_orc", "orc", "bid_date", 4, sort_by=("cityid", "useragent")))
+    _layout_query("bids_layout_orc", "orc", "bid_date", 4, sort_by=("cityid", "useragent"), via_insert=True))
 register("bids_layout_orc_region", _layout_sql("CAST(regionid AS TINYINT) AS regionid"))(
     _layout_query("bids_layout_orc_region", "orc", "regionid", 5, region_tinyint=True, rename_domain=True))
 register("bids_layout_orc_plain", _layout_sql("CAST(regionid AS TINYINT) AS regionid"))(

@@ -76,3 +76,28 @@ def test_merge_is_associative_and_commutative(spark, a, b, c):
     for d, h, t, n in a + b + c:
         expected[(d, h, t)] = expected.get((d, h, t), 0) + n
     assert left == sorted((k[0], k[1], k[2], v) for k, v in expected.items())
+
+
+def test_upsert_keeps_untouched_hours_under_static_session_default(spark):
+    key = "spark.sql.sources.partitionOverwriteMode"
+    prev = spark.conf.get(key)
+    spark.conf.set(key, "static")
+    try:
+        root = scratch_path(spark, "t-archive-static")
+        archive.write_partitions(spark.createDataFrame(
+            [("2024-01-01", "09", "a", 2), ("2024-01-01", "10", "a", 1)], SCHEMA), root, fresh=True)
+        archive.upsert(spark, spark.createDataFrame([("2024-01-01", "09", "a", 3)], SCHEMA), root)
+        assert rows(archive.read_archive(spark, root)) == [("2024-01-01", "09", "a", 5), ("2024-01-01", "10", "a", 1)]
+    finally:
+        spark.conf.set(key, prev)
+
+
+def test_read_hours_prunes_partitions(spark):
+    root = scratch_path(spark, "t-archive-hours")
+    archive.write_partitions(spark.createDataFrame(
+        [("2024-01-01", "09", "a", 2), ("2024-01-01", "10", "a", 1), ("2024-01-02", "09", "b", 4)], SCHEMA), root,
+        fresh=True)
+    df = archive.read_hours(spark, root, [("2024-01-01", "10"), ("2024-01-02", "09"), ("2030-01-01", "00")])
+    assert rows(df) == [("2024-01-01", "10", "a", 1), ("2024-01-02", "09", "b", 4)]
+    assert "PartitionFilters" in df._jdf.queryExecution().executedPlan().toString()
+    assert archive.read_hours(spark, root, []).count() == 0

@@ -50,3 +50,18 @@ def test_text_layout_keeps_empty_strings(spark):
     df = frame(spark, 10).withColumn("useragent", F.when(F.col("bidid") == "1", "").otherwise(F.col("useragent")))
     t = layouts.write_layout(spark, df, "t_text", fmt="csv", partition_by="bid_date", buckets=2)
     assert spark.table(t).where("useragent = ''").count() == 1
+
+
+def test_insert_overwrite_replaces_only_new_partitions(spark):
+    key = "spark.sql.sources.partitionOverwriteMode"
+    prev = spark.conf.get(key)
+    spark.conf.set(key, "static")
+    try:
+        t = layouts.write_layout(spark, frame(spark), "t_ins", fmt="orc", partition_by="bid_date", buckets=2)
+        new_day = frame(spark, 6).withColumn("bid_date", F.lit("2013-10-20")).withColumn("useragent", F.lit("new"))
+        layouts.insert_overwrite(spark, new_day, t)
+        counts = {r.bid_date: r["count"] for r in spark.table(t).groupBy("bid_date").count().collect()}
+        assert counts == {"2013-10-19": 200, "2013-10-20": 6}
+        assert spark.conf.get(key) == "static"
+    finally:
+        spark.conf.set(key, prev)
