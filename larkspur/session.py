@@ -67,6 +67,10 @@ def shared_dir(spark: SparkSession) -> str:
         except Exception:
             base = None
     if not base:
+        if not sc.master.startswith("local"):
+            # A driver-local folder is invisible to executors: refuse instead of guessing.
+            raise ValueError("set spark.checkpoint.dir to a shared folder (HDFS / object store) "
+                             "for non-local masters")
         base = tempfile.mkdtemp(prefix="larkspur-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
     if sc.getCheckpointDir() is None:
