@@ -53,26 +53,28 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_BASES: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder from ``spark.checkpoint.dir``.
 
-    Read from the session; only when unset (local tests) a fresh temp
-    folder is created and registered as the checkpoint dir.
+    Read from the session; failing that, the checkpoint dir already set on the
+    SparkContext.  Only for local masters with neither (tests) a fresh temp
+    folder is created and registered with ``setCheckpointDir`` (the config
+    itself cannot be changed at runtime).
     """
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
-        try:
-            base = spark.conf.get("spark.checkpoint.dir")
-        except Exception:
-            base = None
+        base = _LOCAL_BASES.get(sc.applicationId) or sc.getCheckpointDir()
     if not base:
         if not sc.master.startswith("local"):
             # A driver-local folder is invisible to executors: refuse instead of guessing.
             raise ValueError("set spark.checkpoint.dir to a shared folder (HDFS / object store) "
                              "for non-local masters")
         base = tempfile.mkdtemp(prefix="larkspur-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        _LOCAL_BASES[sc.applicationId] = base
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)
     return base.rstrip("/")
