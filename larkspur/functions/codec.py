@@ -39,7 +39,7 @@ def decode_columns(records: DataFrame) -> DataFrame:
     """(key, value) -> (date, hour, hashtag, cnt); the hashtag keeps any ``;``."""
     d = decode(records)
     parts = F.split(F.col("stat_key"), DELIM, 3)
-    return d.select(parts[0].alias("date"), parts[1].alias("hour"), parts[2].alias("hashtag"), "cnt")
+    return d.select(F.get(parts, 0).alias("date"), F.get(parts, 1).alias("hour"), F.get(parts, 2).alias("hashtag"), "cnt")
 
 
 def rollup(decoded: DataFrame) -> DataFrame:

@@ -58,9 +58,9 @@ def couples_partial_merge(spark, sf_dir):
     def couples_of(df):
         v = F.split(F.col("value"), ",", -1)
         return (df.select("split", v.alias("v"))
-                .where((F.size("v") == bookings.N_VALUES) & (F.col("v")[bookings.ADULTS] == "2"))
-                .select("split", F.col("v")[bookings.CONTINENT].alias("continent"),
-                        F.col("v")[bookings.COUNTRY].alias("country"), F.col("v")[bookings.MARKET].alias("market")))
+                .where((F.size("v") == bookings.N_VALUES) & (F.get(F.col("v"), bookings.ADULTS) == "2"))
+                .select("split", F.get(F.col("v"), bookings.CONTINENT).alias("continent"),
+                        F.get(F.col("v"), bookings.COUNTRY).alias("country"), F.get(F.col("v"), bookings.MARKET).alias("market")))
 
     partial_dir = scratch_path(spark, "couples-partials")
     couples.partial_counts(src, couples_of).write.text(partial_dir)

@@ -54,6 +54,6 @@ def parse_couples(lines: DataFrame) -> DataFrame:
     """Keep lines of exactly 22 values whose adults value is exactly "2"."""
     v = F.split(F.col("value"), ",", -1)
     return (lines.select(v.alias("v"))
-            .where((F.size("v") == N_VALUES) & (F.col("v")[ADULTS] == "2"))
-            .select(F.col("v")[CONTINENT].alias("continent"), F.col("v")[COUNTRY].alias("country"),
-                    F.col("v")[MARKET].alias("market")))
+            .where((F.size("v") == N_VALUES) & (F.get(F.col("v"), ADULTS) == "2"))
+            .select(F.get(F.col("v"), CONTINENT).alias("continent"), F.get(F.col("v"), COUNTRY).alias("country"),
+                    F.get(F.col("v"), MARKET).alias("market")))

@@ -104,7 +104,7 @@ def stream_delta_rollup(spark, sf_dir):
 def stream_two_stage(spark, sf_dir):
     totals = hs.sum_of_deltas(spark, _two_stage(spark, sf_dir))
     parts = F.split(F.col("stat_key"), codec.DELIM, 3)
-    return totals.select(parts[0].alias("date"), parts[1].alias("hour"), parts[2].alias("hashtag"), "cnt")
+    return totals.select(F.get(parts, 0).alias("date"), F.get(parts, 1).alias("hour"), F.get(parts, 2).alias("hashtag"), "cnt")
 
 
 @register("stream_restart", _COUNTS_SQL)

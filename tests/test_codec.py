@@ -25,3 +25,9 @@ def test_rollup_sums_within_one_batch(spark):
                                  "key string, value string")
     got = {r.stat_key: r.cnt for r in codec.rollup(codec.decode(recs)).collect()}
     assert got == {"d;h;a": 6, "d;h;b": 8}
+
+
+def test_decode_columns_tolerates_short_keys(spark):
+    recs = spark.createDataFrame([("k", "a;5"), ("k", "d;h;t;2")], "key string, value string")
+    got = sorted((tuple(r) for r in codec.decode_columns(recs).collect()), key=str)
+    assert got == sorted([("a", None, None, 5), ("d", "h", "t", 2)], key=str)
