@@ -116,6 +116,13 @@ def us_statuses(records: DataFrame, country: str = "US") -> DataFrame:
     return records.where(st["place"]["country_code"] == F.lit(country))
 
 
+def tracked_statuses(records: DataFrame, keywords: tuple[str, ...]) -> DataFrame:
+    """Status records whose text mentions a tracked keyword (whole tokens, any case)."""
+    kw = F.array(*[F.lit(k.lower()) for k in keywords])
+    text = statuses.parse_status(F.col("value").cast("string"))["text"]
+    return records.where(F.arrays_overlap(F.split(F.lower(text), r"\W+"), kw))
+
+
 def ingest_records(records: DataFrame, topic: str = "statuses_us") -> DataFrame:
     """Ingest projection: key = user name, timestamp = created_at (ms), value unchanged."""
     st = statuses.parse_status(F.col("value").cast("string"))

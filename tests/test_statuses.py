@@ -94,3 +94,10 @@ def test_records_csv_scan(spark, tmp_path):
     p.write_text('u1;{"entities":{"hashtags":[{"text":"spark","indices":[0,6]}]}};t;0;0;1704067200;0\n')
     df = delimited.read_records_csv(spark, str(p))
     assert [r.hashtag for r in hashtags.explode_hashtags(df, keep=()).collect()] == ["spark"]
+
+
+def test_tracked_statuses(spark):
+    vals = [json.dumps({"text": "Learning Spark today"}), json.dumps({"text": "nothing here"}),
+            json.dumps({"text": None}), "{bad"]
+    got = hashtags.tracked_statuses(recs(spark, vals), ("big", "data", "ai", "machine", "learning", "course"))
+    assert [r.offset for r in got.collect()] == [0]
