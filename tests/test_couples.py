@@ -36,3 +36,25 @@ def test_partials_merge_to_the_same_counts(spark):
                                "split string, value string").select("value")
     got = {r.market_key: r.cnt for r in couples.merge_partials(df).collect()}
     assert got == {"A#B#C": 5, "X#Y#": 1}
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["EU", "AS", ""]), st.sampled_from(["FR", ""]), st.sampled_from(["P", ""]),
+                          st.sampled_from(["2", "1"]), st.integers(min_value=0, max_value=3)), min_size=1, max_size=12))
+def test_partials_merge_equals_direct_counts(spark, rows):
+    lines = [(line(adults=a, continent=c, country=k, market=m), f"split{s}") for c, k, m, a, s in rows]
+    df = spark.createDataFrame(lines, "value string, split string")
+    direct = {r.market_key: r.cnt for r in couples.market_counts(bookings.parse_couples(df.select("value"))).collect()}
+
+    def couples_of(d):
+        v = F.split(F.col("value"), ",", -1)
+        return (d.select("split", v.alias("v")).where((F.size("v") == 22) & (F.get(F.col("v"), 11) == "2"))
+                .select("split", F.get(F.col("v"), 18).alias("continent"), F.get(F.col("v"), 19).alias("country"),
+                        F.get(F.col("v"), 20).alias("market")))
+
+    merged = {r.market_key: r.cnt for r in couples.merge_partials(couples.partial_counts(df, couples_of)).collect()}
+    assert merged == direct

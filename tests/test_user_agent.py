@@ -48,3 +48,16 @@ def test_table_function_takes_exactly_one_argument(spark, call):
     user_agent.register_sql_function(spark)
     with pytest.raises(AnalysisException):
         spark.sql(f"SELECT * FROM {call}").collect()
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(max_size=60),
+                          st.sampled_from(["Android 9", "iPad; CPU OS 12_1", "MSIE x", "Chrome/ Mobile"])),
+                min_size=1, max_size=8))
+def test_rules_total_on_arbitrary_text(spark, uas):
+    df = spark.createDataFrame([(u,) for u in uas], "useragent string")
+    for r in user_agent.enrich(df).collect():
+        assert r.device and r.os and r.browser
