@@ -48,6 +48,10 @@ def ensure_archive(spark: SparkSession, root: str) -> None:
             .partitionBy(*PARTITION_COLS).parquet(root)
 
 
+# Rows per written file before an hour is split across several writers.
+ROWS_PER_FILE = 5_000_000
+
+
 def write_partitions(stats: DataFrame, root: str, fresh: bool = False) -> None:
     """Overwrite exactly the (date, hour) partitions present in ``stats``.
 
@@ -55,18 +59,34 @@ def write_partitions(stats: DataFrame, root: str, fresh: bool = False) -> None:
     root exists, without the staging and per-partition moves of a dynamic
     overwrite.
 
-    Rows are hash-partitioned on (date, hour) first so each hour is one
-    file written by one task, and all writer tasks run in parallel.  The
-    rows are already aggregated (one per hashtag and hour), so a hot hour is
-    bounded by its distinct hashtags, not by its raw message count.
+    Rows are hash-partitioned on (date, hour) so each hour is written by one
+    task as one file, all writers in parallel.  The size of the largest hour
+    is measured first (on the already aggregated rows): if it exceeds
+    ``ROWS_PER_FILE``, every hour is additionally split by a hashtag hash into
+    up to S = ceil(max_rows / ROWS_PER_FILE) writers, so a hot hour never
+    lands in a single task.
     """
-    n = int(stats.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    w = stats.select(*hashtags.STATS_KEYS, "cnt").repartition(n, *PARTITION_COLS).write
-    if fresh:
-        w = w.mode("errorifexists")
-    else:
-        w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    w.partitionBy(*PARTITION_COLS).parquet(root)
+    from pyspark.sql import functions as F
+    spark = stats.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = stats.select(*hashtags.STATS_KEYS, "cnt").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        biggest = (rows.groupBy(*PARTITION_COLS).count()
+                   .agg(F.max("count").alias("m")).first()["m"]) or 0
+        splits = max(1, -(-biggest // ROWS_PER_FILE))
+        if splits > 1:
+            salt = F.pmod(F.hash("hashtag"), F.lit(splits))
+            out = rows.repartition(max(n, splits), *PARTITION_COLS, salt)
+        else:
+            out = rows.repartition(n, *PARTITION_COLS)
+        w = out.write
+        if fresh:
+            w = w.mode("errorifexists")
+        else:
+            w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        w.partitionBy(*PARTITION_COLS).parquet(root)
+    finally:
+        rows.unpersist()
 
 
 def archived_for(spark: SparkSession, batch: DataFrame, root: str) -> tuple[DataFrame, int]:

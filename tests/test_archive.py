@@ -101,3 +101,13 @@ def test_read_hours_prunes_partitions(spark):
     assert rows(df) == [("2024-01-01", "10", "a", 1), ("2024-01-02", "09", "b", 4)]
     assert "PartitionFilters" in df._jdf.queryExecution().executedPlan().toString()
     assert archive.read_hours(spark, root, []).count() == 0
+
+
+def test_hot_hour_is_split_across_writers(spark, monkeypatch):
+    monkeypatch.setattr(archive, "ROWS_PER_FILE", 4)
+    hot = [("2024-01-01", "09", f"t{i}", 1) for i in range(16)] + [("2024-01-01", "10", "a", 1)]
+    root = scratch_path(spark, "t-archive-hot")
+    archive.write_partitions(spark.createDataFrame(hot, SCHEMA), root, fresh=True)
+    files = [f for f in os.listdir(f"{root}/date=2024-01-01/hour=09") if f.endswith(".parquet")]
+    assert len(files) >= 2
+    assert rows(archive.read_archive(spark, root)) == sorted(hot)
