@@ -141,8 +141,11 @@ def keyword_hits(docs: DataFrame, keywords: tuple[str, ...], text_col: str = "te
     Lower-cased text is split on non-word characters; every token equal to a
     keyword counts.  Runs over the whole text inside one projection.
     """
-    kw = F.array(*[F.lit(k.lower()) for k in keywords])
-    tokens = F.split(F.lower(F.col(text_col)), r"\W+")
-    hits = F.size(F.filter(tokens, lambda t: F.array_contains(kw, t)))
+    # A token (maximal run of word characters) equals a keyword exactly when the keyword
+    # occurs with no word character on either side: one regex scan, no token array.
+    import re
+    alts = "|".join(re.escape(k.lower()) for k in keywords)
+    pattern = rf"(?<![A-Za-z0-9_])(?:{alts})(?![A-Za-z0-9_])"
+    hits = F.regexp_count(F.lower(F.col(text_col)), F.lit(pattern))
     return (docs.select(F.col(id_col), hits.cast("bigint").alias("n_hits"))
             .where(F.col("n_hits") > 0))
