@@ -118,9 +118,15 @@ def us_statuses(records: DataFrame, country: str = "US") -> DataFrame:
 
 def tracked_statuses(records: DataFrame, keywords: tuple[str, ...]) -> DataFrame:
     """Status records whose text mentions a tracked keyword (whole tokens, any case)."""
-    kw = F.array(*[F.lit(k.lower()) for k in keywords])
     text = statuses.parse_status(F.col("value").cast("string"))["text"]
-    return records.where(F.arrays_overlap(F.split(F.lower(text), r"\W+"), kw))
+    return records.where(F.coalesce(F.lower(text).rlike(keyword_pattern(keywords)), F.lit(False)))
+
+
+def keyword_pattern(keywords: tuple[str, ...]) -> str:
+    """Regex matching any keyword as a whole token (no word character on either side)."""
+    import re
+    alts = "|".join(re.escape(k.lower()) for k in keywords)
+    return rf"(?<![A-Za-z0-9_])(?:{alts})(?![A-Za-z0-9_])"
 
 
 def ingest_records(records: DataFrame, topic: str = "statuses_us") -> DataFrame:
@@ -143,9 +149,6 @@ def keyword_hits(docs: DataFrame, keywords: tuple[str, ...], text_col: str = "te
     """
     # A token (maximal run of word characters) equals a keyword exactly when the keyword
     # occurs with no word character on either side: one regex scan, no token array.
-    import re
-    alts = "|".join(re.escape(k.lower()) for k in keywords)
-    pattern = rf"(?<![A-Za-z0-9_])(?:{alts})(?![A-Za-z0-9_])"
-    hits = F.regexp_count(F.lower(F.col(text_col)), F.lit(pattern))
+    hits = F.regexp_count(F.lower(F.col(text_col)), F.lit(keyword_pattern(keywords)))
     return (docs.select(F.col(id_col), hits.cast("bigint").alias("n_hits"))
             .where(F.col("n_hits") > 0))
