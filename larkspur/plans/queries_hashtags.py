@@ -83,10 +83,10 @@ def topic_record_projection(spark, sf_dir):
     return hashtags.ingest_records(us).select("topic", "key", "timestamp_ms", "partition", "offset")
 
 
-@register("keyword_track_filter", """SELECT doc_id, n_hits FROM (
-  SELECT doc_id, CAST(len(list_filter(regexp_split_to_array(lower(text), '\\W+'),
-         lambda t: t IN ('big', 'data', 'ai', 'machine', 'learning', 'course'))) AS BIGINT) AS n_hits
-  FROM documents) WHERE n_hits > 0""")
+@register("keyword_track_filter", """SELECT doc_id, count(*) AS n_hits FROM (
+  SELECT doc_id, unnest(regexp_split_to_array(lower(text), '\\W+')) AS t FROM documents)
+WHERE t IN ('big', 'data', 'ai', 'machine', 'learning', 'course')
+GROUP BY doc_id""")
 def keyword_track_filter(spark, sf_dir):
     return hashtags.keyword_hits(table(spark, sf_dir, "documents"), TRACKED_KEYWORDS)
 
