@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as ent
+from larkspur import registry
 from oracle_check import compare, duck
 
-QUERIES = ent.queries()
-ORACLES = ent.oracle_sql()
+registry.load_all()
+QUERIES = {name: fn for name, fn in ent.queries().items() if name in registry.QUERIES}
+ORACLES = registry.ORACLES
 
 
 @pytest.fixture(scope="module")
