@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.llm import jaccard
+from larkspur.llm import bpe, gam, jaccard, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,3 +26,40 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of each document under 4-word shingle Jaccard similarity >= 0.85."""
     return jaccard.components(_table(spark, sf_dir, "documents"))
+
+
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
+
+@query
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every text, and the text decoded from them, as counts and digests."""
+    return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY),
+                       public_tokenizers.PATTERN)
+
+
+@query
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every text by an additive model of the labels that are not held out."""
+    scored = gam.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op10_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best inner products of every 50th vector with all others."""
+    return topk.top_k(_table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op10_threshold_topk"] = """
+with v as (
+  select vec_id, [floor(256 * x::double) for x in embedding] as v from embeddings
+  where vec_id is not null and embedding is not null
+    and len([1 for x in embedding if x is null or not isfinite(x)]) = 0),
+pairs as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+  from v q join v c on c.vec_id <> q.vec_id where q.vec_id % 50 = 0)
+select query_id, rank::int as rank, vec_id, score from (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from pairs)
+where rank <= 5
+"""
