@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.llm import bpe, gam, jaccard, topk
+from larkspur.llm import bpe, gam, jaccard, line_quality, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,6 +38,15 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        public_tokenizers.PATTERN)
 
 
+@query
+def op5_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word and line counts of every text, and the verdict of the base and line-frequency rules."""
+    return line_quality.rules(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op5_line_frequency_rules"] = line_quality.ORACLE
+
+
 @query
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every text by an additive model of the labels that are not held out."""
