@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.llm import bpe, gam, jaccard, line_quality, topk
+from larkspur.llm import bpe, gam, html_text, jaccard, line_quality, secret_scan, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,6 +31,18 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+@query
+def op1_site_template_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, without site templates."""
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
+@query
+def op2_layered_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text, also below nested encodings."""
+    return secret_scan.secrets(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every text, and the text decoded from them, as counts and digests."""
