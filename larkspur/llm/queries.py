@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.llm import bpe, gam, html_text, jaccard, line_quality, secret_scan, topk
+from larkspur.llm import bpe, gam, html_text, jaccard, licenses, line_quality, mixing, pii, secret_scan, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -59,6 +59,24 @@ def op5_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op5_line_frequency_rules"] = line_quality.ORACLE
 
 
+@query
+def op6_raked_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cell, token weight, calibrated probability and draw of every document."""
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", "probability", "kept")
+
+
+ORACLES["op6_raked_mixture"] = mixing.oracle()
+
+
+@query
+def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with its personal data replaced, and the number of detections per kind."""
+    safe = pii.protect(_table(spark, sf_dir, "documents"))
+    counts = [safe["pii_counts"][k].alias(f"n_{kind}") for k, (kind, _) in enumerate(pii.KINDS)]
+    return safe.select("doc_id", "text", *counts)
+
+
 @query
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every text by an additive model of the labels that are not held out."""
@@ -66,6 +84,12 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+@query
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every text: name, coverage and span."""
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best inner products of every 50th vector with all others."""
