@@ -2,10 +2,11 @@
 
 Documents are summed to cells (source, language, topic) of token weights, by partial
 aggregates; all fitting happens on the cells.  Raking scales the cells to the target share of each
-source, then of each language, then of each topic, ``ROUNDS`` times over.  A cell's factor, divided by the
-largest factor, is the probability with which each of its documents is kept, so the expected
-token shares of the sample are the fitted ones.  The draw is a keyed hash of the id: it does not depend on
-partitions or reruns.
+source, then of each language, then of each topic, ``ROUNDS`` times over.  A document is kept
+with probability min(1, c * fitted share / own share) of its cell, where c makes the
+expected sample ``KEEP`` of all tokens: below the cap the sample's expected shares are in the fitted
+proportions, and a cell that would need more than all its documents gives all of them.  The draw is a
+keyed hash of the id: it does not depend on partitions or reruns.
 
 Without given targets a margin's target shares are its own shares raised to ``TEMPER`` and
 normalised, which lifts small sources, languages and topics.
@@ -25,6 +26,8 @@ from larkspur.llm import store
 
 TEMPER = 0.9
 ROUNDS = 12
+KEEP = 0.85
+CAPS = 6                  # steps of finding c; each sets aside the cells that reached the cap
 SEED = "mix-1"
 SPACE = r"[\x20\x09-\x0D]+"
 MARGINS = ("source", "lang", "topic")
@@ -65,12 +68,12 @@ def _weigh(docs: DataFrame, text_col: str, source_col: str, lang_col: str) -> Da
 
 def fitted_cells(cells: DataFrame, targets: dict[str, dict[str | None, float]] | None = None,
                  temper: float = TEMPER, rounds: int = ROUNDS) -> DataFrame:
-    """``cells`` (source, lang, topic, tokens) with ``fitted``, the raked weight; total weight 1."""
+    """``cells`` (source, lang, topic, tokens) with ``share`` of all tokens and ``fitted``, the raked share."""
     spark = cells.sparkSession
     cells = store.saved(cells, "mix-cells")
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     weight = (F.col("tokens") / F.lit(total)) if total else F.lit(0.0)
-    cells = cells.withColumn("fitted", weight.cast("double"))
+    cells = cells.withColumn("share", weight.cast("double")).withColumn("fitted", F.col("share"))
     for m in MARGINS:
         own = F.sum("fitted").over(Window.partitionBy(m))
         if targets and m in targets:
@@ -91,8 +94,21 @@ def fitted_cells(cells: DataFrame, targets: dict[str, dict[str | None, float]] |
     return cells
 
 
+def _scale(cells: DataFrame, keep: float) -> float:
+    """The c for which min(1, c * fitted / share), weighted by share, sums to ``keep``."""
+    c = keep
+    for _ in range(CAPS):
+        capped = F.col("fitted") * c >= F.col("share")
+        full, rest = cells.agg(F.sum(F.when(capped, F.col("share")).otherwise(0.0)),
+                               F.sum(F.when(capped, 0.0).otherwise(F.col("fitted")))).first()
+        if not rest:
+            break
+        c = max(c, (keep - full) / rest)
+    return c
+
+
 def mix(docs: DataFrame, targets: dict[str, dict[str | None, float]] | None = None, temper: float = TEMPER,
-        rounds: int = ROUNDS, id_col: str = "doc_id", text_col: str = "text",
+        rounds: int = ROUNDS, keep: float = KEEP, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", lang_col: str = "lang") -> DataFrame:
     """``docs`` with topic, n_tokens, probability and kept (the draw is below the probability)."""
     weighed = _weigh(docs, text_col, source_col, lang_col)
@@ -100,13 +116,13 @@ def mix(docs: DataFrame, targets: dict[str, dict[str | None, float]] | None = No
     cells = (weighed.groupBy(F.col("mix_source").alias("source"), F.col("mix_lang").alias("lang"), "topic")
              .agg(F.sum("n_tokens").alias("tokens")))
     cells = fitted_cells(cells, targets, temper, rounds)
-    share = F.when(F.col("tokens") > 0, F.col("fitted") / F.col("tokens"))
     positive = " and ".join(f"goal_{m} > 0" for m in MARGINS)
     cells = store.saved(cells.select(F.col("source").alias("c_source"), F.col("lang").alias("c_lang"),
-                                     F.col("topic").alias("c_topic"), share.alias("factor"),
+                                     F.col("topic").alias("c_topic"), "share", "fitted",
                                      F.expr(positive).alias("wanted")), "mix-factors")
-    most = cells.agg(F.max("factor")).first()[0] or 1.0
-    cells = cells.withColumn("probability", F.coalesce(F.col("factor") / most, F.when(F.col("wanted"), 1.0).otherwise(0.0))).drop("factor", "wanted")
+    odds = F.when(F.col("share") > 0, F.least(F.lit(1.0), F.lit(_scale(cells.where("share > 0"), keep)) * F.col("fitted") / F.col("share")))
+    cells = (cells.withColumn("probability", F.coalesce(odds, F.when(F.col("wanted"), 1.0).otherwise(0.0)))
+             .drop("share", "fitted", "wanted"))
     same = (F.col("mix_source").eqNullSafe(F.col("c_source")) & F.col("mix_lang").eqNullSafe(F.col("c_lang"))
             & F.col("topic").eqNullSafe(F.col("c_topic")))
     return (weighed.join(cells, same, "left").drop("c_source", "c_lang", "c_topic", "mix_source", "mix_lang")
@@ -128,8 +144,12 @@ def oracle() -> str:
             steps.append(f"r{n} as (select * exclude (f), case when sum(f) over (partition by {m}) > 0 then "
                          f"f * g_{m} / sum(f) over (partition by {m}) else 0 end as f from {last})")
             last = f"r{n}"
-    goals = ", ".join(f"pow(sum(f) over (partition by {m}), {TEMPER}) / (select sum(pow(s, {TEMPER})) from "
-                      f"(select sum(f) as s from c group by {m})) as g_{m}" for m in MARGINS)
+    goals = ", ".join(f"pow(sum(f) over (partition by {m}), {TEMPER}) / (select sum(pow(m, {TEMPER})) from "
+                      f"(select sum(f) as m from c group by {m})) as g_{m}" for m in MARGINS)
+    caps = ", ".join([f"k0 as (select {KEEP} as c)"] + [
+        f"k{i + 1} as (select coalesce(greatest(any_value(c), ({KEEP} - sum(case when f * c >= s then s else 0 end)) / "
+        f"nullif(sum(case when f * c >= s then 0 else f end), 0)), any_value(c)) as c from {last}, k{i} where s > 0)"
+        for i in range(CAPS)])
     return rf"""
 with d as (select doc_id, source, lang, coalesce(text, '') as t,
                   len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as n_tokens from documents),
@@ -138,11 +158,12 @@ e as (select *, case
         when len(regexp_extract_all(t, '[A-Z]')) > {CAPITAL_SHARE} * length(t) then 'capitals'
         when len(regexp_extract_all(t, '[0-9]')) > {DIGIT_SHARE} * length(t) then 'figures'
         when n_tokens < {SHORT_TOKENS} then 'short' else 'prose' end as topic from d),
-c as (select source, lang, topic, sum(n_tokens) as tokens,
-             sum(n_tokens)::double / (select sum(n_tokens) from e) as f from e group by all),
+b as (select source, lang, topic, sum(n_tokens)::double / (select sum(n_tokens) from e) as s from e group by all),
+c as (select *, s as f from b),
 r0 as (select *, {goals} from c),
 {", ".join(steps)},
-p as (select source, lang, topic, coalesce(f / nullif(tokens, 0) / (select max(f / nullif(tokens, 0)) from {last}), 1.0) as probability
+{caps},
+p as (select source, lang, topic, coalesce(least(1.0, (select c from k{CAPS}) * f / nullif(s, 0)), 1.0) as probability
       from {last})
 select e.doc_id, e.source, e.lang, e.topic, n_tokens, probability,
        ('0x' || substr(md5(coalesce(doc_id::varchar, '') || ':{SEED}'), 1, 8))::bigint / 4294967296.0 < probability as kept
