@@ -7,14 +7,11 @@ lets the JSON parser skip every other field.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-HASHTAG = T.StructType([
-    T.StructField("text", T.StringType()),
-    T.StructField("indices", T.ArrayType(T.LongType())),
-])
+HASHTAG = T.StructType([T.StructField("text", T.StringType())])
 HASHTAGS = T.ArrayType(HASHTAG)
 
 STATUS = T.StructType([
@@ -36,6 +33,11 @@ def hashtag_texts(status: Column) -> Column:
     return status["entities"]["hashtags"]["text"]
 
 
-def hashtag_texts_from_array_json(hashtags_json: Column) -> Column:
-    """Same, from the JSON text of just the hashtag array ("[{...}]")."""
-    return F.from_json(hashtags_json, HASHTAGS)["text"]
+def with_status(records: DataFrame) -> DataFrame:
+    """``records`` with st_created_at, st_text, st_user, st_place and st_entities of their status.
+
+    The one-element ``inline`` keeps the parse in one place: a filter on the new columns is not
+    pushed below it, where it would parse the text again.
+    """
+    names = [f"st_{f.name}" for f in STATUS.fields]
+    return records.select("*", F.inline(F.array(parse_status(F.col("value").cast("string")))).alias(*names))

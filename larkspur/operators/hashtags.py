@@ -20,8 +20,6 @@ STATS_SCHEMA = T.StructType([
     T.StructField("cnt", T.LongType()),
 ])
 STATS_KEYS = ["date", "hour", "hashtag"]
-# Batch-size bound under which the (date, hour) keys of a batch are broadcast.
-MAX_BROADCAST_HOURS = 200_000
 
 
 def explode_hashtags(records: DataFrame, keep: tuple[str, ...] = ("partition", "offset")) -> DataFrame:
@@ -92,16 +90,14 @@ def active_hours(stats: DataFrame) -> DataFrame:
     return stats.select("date", "hour").distinct()
 
 
-def touched(archive: DataFrame, hours: DataFrame, n_hours: int | None = None) -> DataFrame:
-    """Archive rows whose (date, hour) partition is touched by ``hours``.
+def touched(archive: DataFrame, hours: DataFrame, dates: tuple[str, str]) -> DataFrame:
+    """Archive rows whose (date, hour) partition is in ``hours``.
 
-    A left-semi join on the partition columns; when the key count is known
-    to be small it is broadcast, which lets Spark prune archive partitions
-    at runtime instead of listing paths on the driver.
+    A left-semi join on the partition columns with the hours' date bounds on both sides:
+    static partition pruning by date, dynamic pruning by hour.
     """
-    if n_hours is not None and n_hours <= MAX_BROADCAST_HOURS:
-        hours = F.broadcast(hours)
-    return archive.join(hours, ["date", "hour"], "left_semi")
+    within = F.col("date").between(*dates)
+    return archive.where(within).join(hours.where(within), ["date", "hour"], "left_semi")
 
 
 def merge_counts(batch: DataFrame, archived: DataFrame) -> DataFrame:
@@ -112,14 +108,15 @@ def merge_counts(batch: DataFrame, archived: DataFrame) -> DataFrame:
 
 def us_statuses(records: DataFrame, country: str = "US") -> DataFrame:
     """Statuses whose place has the given country code; no place / no code drops."""
-    st = statuses.parse_status(F.col("value").cast("string"))
-    return records.where(st["place"]["country_code"] == F.lit(country))
+    return (statuses.with_status(records).where(F.col("st_place.country_code") == F.lit(country))
+            .select(*records.columns))
 
 
 def tracked_statuses(records: DataFrame, keywords: tuple[str, ...]) -> DataFrame:
     """Status records whose text mentions a tracked keyword (whole tokens, any case)."""
-    text = statuses.parse_status(F.col("value").cast("string"))["text"]
-    return records.where(F.coalesce(F.lower(text).rlike(keyword_pattern(keywords)), F.lit(False)))
+    return (statuses.with_status(records)
+            .where(F.coalesce(F.lower("st_text").rlike(keyword_pattern(keywords)), F.lit(False)))
+            .select(*records.columns))
 
 
 def keyword_pattern(keywords: tuple[str, ...]) -> str:
@@ -129,12 +126,17 @@ def keyword_pattern(keywords: tuple[str, ...]) -> str:
     return rf"(?<![A-Za-z0-9_])(?:{alts})(?![A-Za-z0-9_])"
 
 
-def ingest_records(records: DataFrame, topic: str = "statuses_us") -> DataFrame:
-    """Ingest projection: key = user name, timestamp = created_at (ms), value unchanged."""
-    st = statuses.parse_status(F.col("value").cast("string"))
-    created = timefmt.parse_status_time(st["created_at"])
-    return (records
-            .select(F.lit(topic).alias("topic"), st["user"]["name"].alias("key"),
+def ingest_records(records: DataFrame, topic: str = "statuses_us", country: str | None = None) -> DataFrame:
+    """Ingest projection: key = user name, timestamp = created_at (ms), value unchanged.
+
+    With ``country`` only statuses from there; filter and projection share one parse.
+    """
+    parsed = statuses.with_status(records)
+    if country is not None:
+        parsed = parsed.where(F.col("st_place.country_code") == F.lit(country))
+    created = timefmt.parse_status_time(F.col("st_created_at"))
+    return (parsed
+            .select(F.lit(topic).alias("topic"), F.col("st_user.name").alias("key"),
                     (F.unix_seconds(created) * 1000).alias("timestamp_ms"), "value",
                     "partition", "offset")
             .where(F.col("timestamp_ms").isNotNull()))

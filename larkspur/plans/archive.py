@@ -1,22 +1,29 @@
 """Date/hour-partitioned Parquet archive of hashtag counts, with upsert.
 
-Merge = read only the touched (date, hour) partitions, UNION ALL the batch,
-sum per key, stage the result in the shared folder, then dynamically
-overwrite just those partitions.  Untouched partitions are never rewritten
-(``partitionOverwriteMode=dynamic`` is set on every write, never relied on
-from the session).
+Merge = read only the touched (date, hour) partitions, UNION ALL the batch, sum per key, stage
+the merged rows below the archive, then dynamically overwrite just those partitions.
+Untouched partitions are neither read nor rewritten.
+
+A batch with an id can be run again after a crash at any point: a finished stage is published
+again as it is (publishing is an overwrite, so twice is once), an unfinished stage is built
+anew from the unchanged archive, and a batch with a completion mark is skipped.  One writer
+at a time is assumed; it finishes a stage that another batch left behind before its own.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import uuid
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark import StorageLevel
+from pyspark.sql import functions as F
 
 from larkspur.operators import hashtags
 from larkspur.session import scratch_path
 
 PARTITION_COLS = ["date", "hour"]
+# Leading underscore: invisible to readers of the archive data.
+STAGES, DONE = "_stages", "_done"
 
 
 def read_archive(spark: SparkSession, root: str) -> DataFrame:
@@ -24,119 +31,107 @@ def read_archive(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(hashtags.STATS_SCHEMA).parquet(root).select(*hashtags.STATS_KEYS, "cnt")
 
 
-def read_hours(spark: SparkSession, root: str, hours: list[tuple[str, str]]) -> DataFrame:
-    """Archive rows of an explicit list of (date, hour) partitions.
-
-    The list becomes a partition-column predicate, so only those folders are
-    listed and read (static partition pruning); absent hours give no rows.
-    """
-    from functools import reduce
-
-    from pyspark.sql import functions as F
-    if not hours:
-        return read_archive(spark, root).limit(0)
-    cond = reduce(lambda a, b: a | b, [(F.col("date") == d) & (F.col("hour") == h) for d, h in hours])
-    return read_archive(spark, root).where(cond)
-
-
 def ensure_archive(spark: SparkSession, root: str) -> None:
     """Create an empty archive root when there is none yet."""
-    try:
-        spark.read.schema(hashtags.STATS_SCHEMA).parquet(root).schema  # noqa: B018 - resolves the path
-    except AnalysisException:
+    if not _exists(spark, root):
         spark.createDataFrame([], hashtags.STATS_SCHEMA).write.mode("append") \
             .partitionBy(*PARTITION_COLS).parquet(root)
 
 
-# Rows per written file before an hour is split across several writers.
-ROWS_PER_FILE = 5_000_000
-
-
 def write_partitions(stats: DataFrame, root: str, fresh: bool = False) -> None:
     """Overwrite exactly the (date, hour) partitions present in ``stats``.
 
     ``fresh=True`` creates a new archive: a plain write that fails if the
     root exists, without the staging and per-partition moves of a dynamic
-    overwrite.
-
-    Rows are hash-partitioned on (date, hour) so each hour is written by one
-    task as one file, all writers in parallel.  The size of the largest hour
-    is measured first (on the already aggregated rows): if it exceeds
-    ``ROWS_PER_FILE``, every hour is additionally split by a hashtag hash into
-    up to S = ceil(max_rows / ROWS_PER_FILE) writers, so a hot hour never
-    lands in a single task.
+    overwrite.  REBALANCE lets AQE write a small hour by one task and split a hot one over several.
     """
-    from pyspark.sql import functions as F
-    spark = stats.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = stats.select(*hashtags.STATS_KEYS, "cnt").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        biggest = (rows.groupBy(*PARTITION_COLS).count()
-                   .agg(F.max("count").alias("m")).first()["m"]) or 0
-        splits = max(1, -(-biggest // ROWS_PER_FILE))
-        if splits > 1:
-            salt = F.pmod(F.hash("hashtag"), F.lit(splits))
-            out = rows.repartition(max(n, splits), *PARTITION_COLS, salt)
-        else:
-            out = rows.repartition(n, *PARTITION_COLS)
-        w = out.write
-        if fresh:
-            w = w.mode("errorifexists")
-        else:
-            w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        w.partitionBy(*PARTITION_COLS).parquet(root)
-    finally:
-        rows.unpersist()
+    w = stats.select(*hashtags.STATS_KEYS, "cnt").hint("rebalance", *PARTITION_COLS).write
+    if fresh:
+        w = w.mode("errorifexists")
+    else:
+        w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    w.partitionBy(*PARTITION_COLS).parquet(root)
 
 
 def archived_for(spark: SparkSession, batch: DataFrame, root: str) -> tuple[DataFrame, int]:
-    """Archive rows of the hours touched by ``batch`` and the touched-hour count."""
-    # The key frame is small (one row per touched hour): cache it so the count
-    # and the join read the batch aggregation once.
-    hours = hashtags.active_hours(batch).persist(StorageLevel.MEMORY_AND_DISK)
-    n_hours = hours.count()
-    return hashtags.touched(read_archive(spark, root), hours, n_hours), n_hours
+    """Archive rows of the hours touched by ``batch`` and the touched-hour count.
 
+    The touched hours (one row each) are written to scratch once; their date
+    bounds become constants on both sides of the semi join, so the scan lists the dates between them
+    only, and the selective filter on the hours makes Spark prune the rest at run time.
+    """
+    path = scratch_path(spark, "touched-hours")
+    hashtags.active_hours(batch).write.parquet(path)
+    hours = spark.read.schema("date string, hour string").parquet(path)
+    lo, hi, n = hours.agg(F.min("date"), F.max("date"), F.count("*")).first()
+    if not n:
+        return read_archive(spark, root).limit(0), 0
+    return hashtags.touched(read_archive(spark, root), hours, (lo, hi)), n
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
 
-LEDGER = "_ledger"   # leading underscore: invisible to readers of the archive data
 
+def _drop(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
 
-def _ledger_has(spark: SparkSession, root: str, batch_id: str) -> bool:
-    try:
-        led = spark.read.schema("batch_id string").parquet(f"{root}/{LEDGER}")
-    except AnalysisException:
-        return False
-    return not led.where(led.batch_id == batch_id).isEmpty()
 
+def _mark_done(spark: SparkSession, root: str, name: str) -> None:
+    fs, p = _fs(spark, f"{root}/{DONE}/{name}")
+    fs.create(p, True).close()
 
-def _ledger_add(spark: SparkSession, root: str, batch_id: str) -> None:
-    spark.createDataFrame([(batch_id,)], "batch_id string").coalesce(1) \
-        .write.mode("append").parquet(f"{root}/{LEDGER}")
+
+def _publish(spark: SparkSession, root: str, name: str) -> None:
+    """Overwrite the staged partitions, mark the batch done, drop its stage (each step repeatable)."""
+    stage = f"{root}/{STAGES}/{name}"
+    write_partitions(spark.read.schema(hashtags.STATS_SCHEMA).parquet(stage), root)
+    _mark_done(spark, root, name)
+    _drop(spark, stage)
+
+
+def _finish_others(spark: SparkSession, root: str, name: str) -> None:
+    """Publish complete stages left by a crash, and drop incomplete ones, of other batches."""
+    fs, p = _fs(spark, f"{root}/{STAGES}")
+    for s in fs.listStatus(p) if fs.exists(p) else []:          # at most the stages of crashed runs
+        other = s.getPath().getName()
+        if other == name:
+            continue
+        if _exists(spark, f"{root}/{STAGES}/{other}/_SUCCESS") and not _exists(spark, f"{root}/{DONE}/{other}"):
+            _publish(spark, root, other)
+        else:
+            _drop(spark, f"{root}/{STAGES}/{other}")
 
 
 def upsert(spark: SparkSession, batch: DataFrame, root: str, batch_id: str | None = None) -> int:
-    """Merge batch counts into the archive; returns the number of touched hours.
+    """Merge batch counts into the archive; returns the number of touched hours (0: nothing to do).
 
-    With a ``batch_id`` the merge is recorded in the archive's ledger and a
-    batch already recorded is skipped, so re-running a finished batch does not
-    count it twice.
+    Without a ``batch_id`` a repeated call counts as a new batch.
     """
     ensure_archive(spark, root)
-    if batch_id is not None and _ledger_has(spark, root, batch_id):
+    name = quote(batch_id, safe="") if batch_id is not None else uuid.uuid4().hex
+    _finish_others(spark, root, name)
+    if _exists(spark, f"{root}/{DONE}/{name}"):
+        _drop(spark, f"{root}/{STAGES}/{name}")
         return 0
-    batch = batch.select(*hashtags.STATS_KEYS, "cnt").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        archived, n_hours = archived_for(spark, batch, root)
+    stage = f"{root}/{STAGES}/{name}"
+    if not _exists(spark, f"{stage}/_SUCCESS"):
+        counted = scratch_path(spark, "batch-counts")
+        batch.select(*hashtags.STATS_KEYS, "cnt").write.parquet(counted)
+        counts = spark.read.schema(hashtags.STATS_SCHEMA).parquet(counted)
+        archived, n_hours = archived_for(spark, counts, root)
         if n_hours == 0:
             return 0
-        merged = hashtags.merge_counts(batch, archived)
-        # Stage in the shared folder: the archive partitions being replaced are
-        # inputs of ``merged``, so the merged rows must exist elsewhere first.
-        staged = scratch_path(spark, "archive-stage")
-        merged.write.parquet(staged)
-        write_partitions(spark.read.schema(hashtags.STATS_SCHEMA).parquet(staged), root)
-        if batch_id is not None:
-            _ledger_add(spark, root, batch_id)
-        return n_hours
-    finally:
-        batch.unpersist()
+        hashtags.merge_counts(counts, archived).write.mode("overwrite").parquet(stage)
+        _drop(spark, counted)
+    staged = spark.read.schema(hashtags.STATS_SCHEMA).parquet(stage)
+    touched = hashtags.active_hours(staged).count()
+    _publish(spark, root, name)
+    return touched

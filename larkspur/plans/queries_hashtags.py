@@ -18,6 +18,7 @@ from larkspur.sources.tables import table
 TRACKED_KEYWORDS = ("big", "data", "ai", "machine", "learning", "course")
 SLICE_START = '{"statuses": {"0": 100, "1": 150, "2": 200}}'
 SLICE_BATCH = 3000
+BOUNDED_START = '{"statuses": {"0": 100, "1": 150, "2": -2}}'
 BATCH_PARTITION = 2            # batch = topic partition 2 from BATCH_SINCE on;
 BATCH_SINCE = "2024-01-21"     # the archive holds every other record
 
@@ -74,13 +75,70 @@ def us_status_filter(spark, sf_dir):
     return hashtags.us_statuses(records(spark, sf_dir)).select("key", "partition", "offset")
 
 
-@register("topic_record_projection", """SELECT 'statuses_us' AS topic, 'user' || CAST(user_id AS VARCHAR) AS key,
-  CAST(epoch(date_trunc('second', ts)) AS BIGINT) * 1000 AS timestamp_ms,
+def _tag_sql(text):
+    return (f"""CASE WHEN {text} IS NULL THEN '{{"indices":[0,null]}}' ELSE '{{"text":"' || {text} || """
+            f"""'","indices":[0,' || CAST(length({text}) + 1 AS VARCHAR) || ']}}' END""")
+
+
+# The status JSON of the fixture for a US status, field by field.
+_US_VALUE_SQL = f"""'{{"created_at":"' || strftime(ts, '%a %b %d %H:%M:%S +0000 %Y')
+  || '","text":"status ' || CAST(event_id AS VARCHAR) || '","user":{{"name":"user' || CAST(user_id AS VARCHAR)
+  || '"}},"place":{{"country_code":"US"}}'
+  || CASE WHEN event_id % 50 = 17 THEN '' WHEN event_type = 'error' THEN ',"entities":{{"hashtags":[]}}'
+     WHEN event_id % 50 = 13 THEN ',"entities":{{}}'
+     WHEN event_id % 50 = 21 THEN ',"entities":{{"hashtags":[{{"indices":[0,null]}},' || {_tag_sql("event_type")} || ']}}'
+     ELSE ',"entities":{{"hashtags":[' || {_tag_sql("event_type")} || ',' || {_tag_sql("k_tag")}
+       || CASE WHEN event_type = 'purchase' THEN ',' || {_tag_sql("event_type")} ELSE '' END
+       || CASE WHEN event_id % 50 = 41 THEN ',' || {_tag_sql("semi_tag")} ELSE '' END || ']}}' END
+  || CASE WHEN event_id % 50 = 33
+     THEN ',"retweeted_status":{{"entities":{{"hashtags":[' || {_tag_sql("'rt' || event_type")} || ']}}}}' ELSE '' END || '}}'"""
+
+
+@register("topic_record_projection", f"""SELECT 'statuses_us' AS topic, 'user' || CAST(user_id AS VARCHAR) AS key,
+  CAST(epoch(date_trunc('second', ts)) AS BIGINT) * 1000 AS timestamp_ms, {_US_VALUE_SQL} AS value,
   CAST(event_id % 3 AS INTEGER) AS "partition", CAST(event_id // 3 AS BIGINT) AS "offset"
-FROM events WHERE user_id % 3 = 0 AND event_id % 50 <> 7""")
+FROM (SELECT *, 'k' || json_extract_string(props, '$.k') AS k_tag,
+             'k;' || CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) % 7 AS VARCHAR) AS semi_tag FROM events)
+WHERE user_id % 3 = 0 AND event_id % 50 <> 7""")
 def topic_record_projection(spark, sf_dir):
-    us = hashtags.us_statuses(records(spark, sf_dir))
-    return hashtags.ingest_records(us).select("topic", "key", "timestamp_ms", "partition", "offset")
+    """Ingest records of US statuses, written to a topic folder and read back unchanged."""
+    path = scratch_path(spark, "ingest-topic")
+    ingested = hashtags.ingest_records(records(spark, sf_dir), country="US")
+    ingested.write.parquet(path)
+    return spark.read.schema(ingested.schema).parquet(path)
+
+
+TRACKED_STATUS_WORDS = ("100", "250", "999", "status-1")
+
+
+@register("status_track_filter", """SELECT 'user' || CAST(user_id AS VARCHAR) AS key,
+  CAST(event_id % 3 AS INTEGER) AS "partition", CAST(event_id // 3 AS BIGINT) AS "offset"
+FROM events WHERE event_id IN (100, 250, 999) AND event_id % 50 <> 7""")
+def status_track_filter(spark, sf_dir):
+    return hashtags.tracked_statuses(records(spark, sf_dir), TRACKED_STATUS_WORDS).select("key", "partition", "offset")
+
+
+@register("topic_bounded_read", """SELECT 'user' || CAST(user_id AS VARCHAR) AS key,
+  CAST(event_id % 3 AS INTEGER) AS "partition", CAST(event_id // 3 AS BIGINT) AS "offset"
+FROM events WHERE event_id // 3 >= CASE event_id % 3 WHEN 0 THEN 100 WHEN 1 THEN 150 ELSE 0 END
+  AND event_id // 3 < 1000 + CASE event_id % 3 WHEN 0 THEN 100 WHEN 1 THEN 150 ELSE 0 END""")
+def topic_bounded_read(spark, sf_dir):
+    """One bounded batch [start, end) per partition; partition 2 starts at its earliest offset."""
+    rec = records(spark, sf_dir)
+    start = topic.resolve_offsets(rec, BOUNDED_START)
+    ranges = topic.offset_ranges(spark, start, topic.end_offsets(start, SLICE_BATCH))
+    return topic.slice_records(rec, ranges).select("key", "partition", "offset")
+
+
+@register("hashtag_quality", """SELECT CAST(count(*) AS BIGINT) AS records,
+  CAST(count(*) FILTER (event_id % 50 = 7) AS BIGINT) AS unparseable,
+  CAST(count(*) FILTER (event_id % 50 <> 7 AND (event_type = 'error' OR event_id % 50 IN (13, 17))) AS BIGINT) AS without_hashtags
+FROM events""")
+def hashtag_quality(spark, sf_dir):
+    """Counters of the records that the batch job drops, gathered while it fills the archive."""
+    rec, metrics = hashtags.with_quality_metrics(records(spark, sf_dir), "hashtag_batch")
+    archive.upsert(spark, hashtags.batch_hourly_counts(rec), scratch_path(spark, "hashtag-archive"), batch_id="all")
+    return spark.createDataFrame([metrics.get], "records long, unparseable long, without_hashtags long")
 
 
 @register("keyword_track_filter", """SELECT doc_id, count(*) AS n_hits FROM (
@@ -137,7 +195,8 @@ def hashtag_partition_upsert(spark, sf_dir):
     arch, batch = _archive_and_batch(spark, sf_dir)
     root = scratch_path(spark, "hashtag-archive")
     archive.write_partitions(arch, root, fresh=True)
-    archive.upsert(spark, batch, root)
+    for _ in range(2):                         # the second run of the same batch changes nothing
+        archive.upsert(spark, batch, root, batch_id="batch-1")
     return archive.read_archive(spark, root)
 
 

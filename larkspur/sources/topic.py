@@ -112,40 +112,65 @@ def parse_offsets(offsets_json: str | None) -> tuple[str, dict[int, int]]:
     input raise ``ValueError``.
     """
     if offsets_json is None:
-        raise ValueError("offset string must not be null")
+        raise ValueError("pass the offsets of one topic as JSON; got None")
     if not offsets_json.strip():
-        raise ValueError("offset string must not be empty")
+        raise ValueError("pass the offsets of one topic as JSON; got blank text")
     try:
         parsed = json.loads(offsets_json)
     except json.JSONDecodeError as exc:
-        raise ValueError("invalid offset format: can not be parsed") from exc
+        raise ValueError(f"offsets are not JSON: {offsets_json!r}") from exc
     if not isinstance(parsed, dict) or len(parsed) != 1:
-        n = len(parsed) if isinstance(parsed, dict) else 0
-        raise ValueError(f"invalid number of topics in offsets, should be 1, but was: {n}")
+        raise ValueError(f"give offsets for exactly one topic: {offsets_json!r}")
     topic, parts = next(iter(parsed.items()))
     if not isinstance(parts, dict) or not parts:
-        raise ValueError("invalid offset format: no partitions")
+        raise ValueError(f"topic {topic!r} needs a partition -> offset object")
     try:
         return topic, {int(p): int(o) for p, o in parts.items()}
     except (TypeError, ValueError) as exc:
-        raise ValueError("invalid offset format: can not be parsed") from exc
+        raise ValueError(f"partitions and offsets of {topic!r} must be whole numbers") from exc
 
 
 def offsets_to_json(topic: str, offsets: dict[int, int]) -> str:
     return json.dumps({topic: {str(p): o for p, o in sorted(offsets.items())}})
 
 
+def _resolved(offsets_json: str | None) -> tuple[str, dict[int, int]]:
+    topic, offsets = parse_offsets(offsets_json)
+    special = sorted(p for p, o in offsets.items() if o < 0)
+    if special:
+        raise ValueError(f"partitions {special} of {topic!r} have special offsets: call resolve_offsets first")
+    return topic, offsets
+
+
+def resolve_offsets(records: DataFrame, offsets_json: str) -> str:
+    """Offsets with earliest / latest replaced by the topic's first offset / one past its last.
+
+    Reads one row per topic partition; a partition without records starts and ends at 0.
+    """
+    topic, offsets = parse_offsets(offsets_json)
+    known = {r["partition"]: r for r in records.where(F.col("topic") == topic).groupBy("partition")
+             .agg(F.min("offset").alias("first"), F.max("offset").alias("last")).collect()}
+
+    def number(p: int, o: int) -> int:
+        if o not in (EARLIEST, LATEST):
+            return o
+        if p not in known:
+            return 0
+        return known[p]["first"] if o == EARLIEST else known[p]["last"] + 1
+    return offsets_to_json(topic, {p: number(p, o) for p, o in offsets.items()})
+
+
 def end_offsets(start_json: str, batch_size: int) -> str:
     """End offsets of a batch: start + batch_size / #partitions on every partition.
 
-    The batch size must divide evenly over the partitions.  Special start
-    offsets stay special (earliest/latest are resolved by the source).
+    The batch size must divide evenly over the partitions.  Special start offsets (earliest, latest) have
+    no end yet: ``resolve_offsets`` turns them into numbers first.
     """
-    topic, start = parse_offsets(start_json)
+    topic, start = _resolved(start_json)
     if batch_size <= 0 or batch_size % len(start):
         raise ValueError("batch size must be a positive multiple of the partition count")
     per_part = batch_size // len(start)
-    return offsets_to_json(topic, {p: (o if o < 0 else o + per_part) for p, o in start.items()})
+    return offsets_to_json(topic, {p: o + per_part for p, o in start.items()})
 
 
 def offset_ranges(spark: SparkSession, start_json: str, end_json: str) -> DataFrame:
@@ -154,17 +179,11 @@ def offset_ranges(spark: SparkSession, start_json: str, end_json: str) -> DataFr
     Its size is the partition count of one topic, known on the driver,
     so it may be broadcast.
     """
-    topic, start = parse_offsets(start_json)
-    topic_end, end = parse_offsets(end_json)
+    topic, start = _resolved(start_json)
+    topic_end, end = _resolved(end_json)
     if topic_end != topic or set(end) != set(start):
         raise ValueError("start and end offsets must name the same topic and partitions")
-    rows = []
-    for p, s in sorted(start.items()):
-        s = 0 if s == EARLIEST else s
-        e = end[p]
-        if s == LATEST or e == EARLIEST:
-            continue                      # nothing is consumed from "latest" in a bounded read
-        rows.append((topic, p, s, None if e == LATEST else e))
+    rows = [(topic, p, s, end[p]) for p, s in sorted(start.items())]
     return spark.createDataFrame(rows, "topic string, partition int, start_offset bigint, end_offset bigint")
 
 
@@ -177,7 +196,7 @@ def slice_records(records: DataFrame, ranges: DataFrame) -> DataFrame:
     r = F.broadcast(ranges.alias("r"))
     cond = ((F.col("rec.topic") == F.col("r.topic")) & (F.col("rec.partition") == F.col("r.partition"))
             & (F.col("rec.offset") >= F.col("r.start_offset"))
-            & (F.col("r.end_offset").isNull() | (F.col("rec.offset") < F.col("r.end_offset"))))
+            & (F.col("rec.offset") < F.col("r.end_offset")))
     return records.alias("rec").join(r, cond, "left_semi")
 
 

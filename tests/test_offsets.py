@@ -9,9 +9,18 @@ def test_end_offsets_adds_batch_share_to_every_partition():
     assert topic.parse_offsets(end) == ("tw", {0: 12, 1: 22, 2: 32})
 
 
-def test_special_offsets_stay_special():
-    _, end = topic.parse_offsets(topic.end_offsets('{"tw": {"0": -2, "1": 5}}', 4))
-    assert end == {0: -2, 1: 7}
+def test_special_offsets_are_resolved_never_skipped(spark):
+    special = '{"tw": {"0": -2, "1": 5, "2": -1, "3": -2}}'
+    with pytest.raises(ValueError):
+        topic.end_offsets(special, 4)
+    with pytest.raises(ValueError):
+        topic.offset_ranges(spark, special, special)
+    recs = spark.createDataFrame([("k", "v", "tw", p, o, 0, 0) for p in range(3) for o in range(3, 10)], topic.RECORD_SCHEMA)
+    start = topic.resolve_offsets(recs, special)
+    assert topic.parse_offsets(start) == ("tw", {0: 3, 1: 5, 2: 10, 3: 0})
+    ranges = topic.offset_ranges(spark, start, topic.end_offsets(start, 8))
+    got = sorted((r.partition, r.offset) for r in topic.slice_records(recs, ranges).collect())
+    assert got == [(0, 3), (0, 4), (1, 5), (1, 6)]
 
 
 @pytest.mark.parametrize("bad", [None, "", "   ", "not json", '{"a": {"0": 1}, "b": {"0": 2}}', "[1, 2]"])
@@ -41,7 +50,7 @@ def test_slice_plan_broadcasts_the_ranges_only(spark):
     start = '{"tw": {"0": 0, "1": 0, "2": 0}}'
     plan = topic.slice_records(recs, topic.offset_ranges(spark, start, topic.end_offsets(start, 30))) \
         ._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastExchange" in plan or "BroadcastNestedLoopJoin" in plan or "BroadcastHashJoin" in plan
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
 
 
 def test_assign_slices_numbers_consecutive_batches(spark):

@@ -73,14 +73,6 @@ def test_keyword_hits_whole_tokens_case_insensitive(spark):
     assert got == {1: 3, 3: 3}
 
 
-def test_hashtag_array_json_form(spark):
-    from larkspur.functions import statuses as fs
-    df = spark.createDataFrame([('[{"text":"AI","indices":[1,3]},{"text":"ML","indices":[5,8]}]',), ("[]",), ("x",)],
-                               "h string")
-    got = [r.t for r in df.select(fs.hashtag_texts_from_array_json(F.col("h")).alias("t")).collect()]
-    assert got == [["AI", "ML"], [], None]
-
-
 def test_quality_metrics_observed_in_the_same_pass(spark):
     values = [status(["a"]), status([]), "{broken", status(drop=("entities",))]
     observed, obs = hashtags.with_quality_metrics(recs(spark, values))
@@ -101,3 +93,18 @@ def test_tracked_statuses(spark):
             json.dumps({"text": None}), "{bad"]
     got = hashtags.tracked_statuses(recs(spark, vals), ("big", "data", "ai", "machine", "learning", "course"))
     assert [r.offset for r in got.collect()] == [0]
+
+
+def test_ingest_parses_each_status_once(spark, sf_dir):
+    from larkspur.operators import hashtags
+    from larkspur.plans.queries_hashtags import records
+    plan = hashtags.ingest_records(records(spark, sf_dir), country="US")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def test_joinback_counts_parse_distinct_pairs(spark, sf_dir):
+    import __spark_entry__ as ent
+    plan = ent.queries()["city_value_joinback"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    counts = plan[plan.index("Aggregate [cityid"):]
+    below = counts[counts.index("\n", counts.rindex("Aggregate [cityid")):]
+    assert "RLIKE" in counts and "RLIKE" not in below        # the rules see distinct pairs, not the scan
