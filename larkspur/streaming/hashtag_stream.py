@@ -7,9 +7,8 @@
 * running totals (stateful aggregation, update mode, hourly windows so the
   state store is evicted behind the watermark);
 * stage 2: decode stats records and roll them up per micro-batch;
-* archive merge: ``foreachBatch`` writes each batch's counts under
-  ``date=/hour=/batch_id=`` with dynamic overwrite, so a replayed batch
-  replaces itself instead of double counting; totals are a sum over batches.
+* archive merge: ``foreachBatch`` merges each batch's counts into the date/hour
+  archive under its batch id, so a replayed batch does not count twice.
 
 Every query has its own checkpoint location in the shared folder and can be
 stopped and restarted from it.
@@ -30,18 +29,28 @@ STATS_RECORD_SCHEMA = "key string, value string, batch_id bigint"
 
 # ------------------------------------------------------------------ sources
 
-def record_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Status records arriving as Parquet files under ``path``."""
-    r = spark.readStream.schema(RECORD_SCHEMA)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(path)
+# Offsets one micro-batch reads from a topic, and files from a folder, unless told otherwise: a batch's
+# size does not grow with the backlog.
+OFFSETS_PER_TRIGGER = 5_000_000
+FILES_PER_TRIGGER = 2
+# A status dated later than its record by more than this would move event time too far, and is dropped.
+FUTURE_TOLERANCE = "1 hour"
 
 
-def topic_stream(spark: SparkSession, servers: str, topic: str) -> DataFrame:
+def record_stream(spark: SparkSession, path: str, max_files: int = FILES_PER_TRIGGER) -> DataFrame:
+    """Status records arriving as Parquet files under ``path``, oldest files first."""
+    return spark.readStream.schema(RECORD_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(path)
+
+
+def topic_options(servers: str, topic: str, max_offsets: int = OFFSETS_PER_TRIGGER) -> dict[str, str]:
+    """Options of a rate-limited Kafka source from the earliest offset."""
+    return {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest",
+            "maxOffsetsPerTrigger": str(max_offsets)}
+
+
+def topic_stream(spark: SparkSession, servers: str, topic: str, max_offsets: int = OFFSETS_PER_TRIGGER) -> DataFrame:
     """Records of a Kafka topic from the earliest offset (needs the Kafka connector jar)."""
-    raw = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-           .option("subscribe", topic).option("startingOffsets", "earliest").load())
+    raw = spark.readStream.format("kafka").options(**topic_options(servers, topic, max_offsets)).load()
     return raw.select(F.col("key").cast("string"), F.col("value").cast("string"), "topic", "partition",
                       "offset", F.col("timestamp").cast("long").alias("timestamp"), "timestampType")
 
@@ -118,22 +127,32 @@ def arrival_deltas(records: DataFrame, out_path: str, checkpoint: str, bounded:
     return _start(w, bounded, interval)
 
 
-def event_windows(records: DataFrame, out_path: str, checkpoint: str, length: str = "3 minutes",
-                  delay: str = "10 minutes", bounded: bool = True) -> StreamingQuery:
-    """Event-time tumbling windows of ``length`` per hashtag, append mode.
+def timed_tags(records: DataFrame, delay: str) -> DataFrame:
+    """(created, hashtag) behind a watermark of ``delay`` on the status time.
 
-    The watermark is set on the status time *before* hashtags are exploded,
-    so statuses without hashtags still advance event time.
+    The watermark is set *before* hashtags are exploded, so statuses without hashtags still advance
+    event time.  A status dated after its own record (beyond ``FUTURE_TOLERANCE``) is dropped
+    first: it would close every open window.
     """
-    st = records.select(statuses.parse_status(F.col("value").cast("string")).alias("st"))
-    timed = (st.select(timefmt.parse_status_time(F.col("st.created_at")).alias("created"), "st")
-             .where(F.col("created").isNotNull())
+    st = statuses.with_status(records)
+    timed = (st.select(timefmt.parse_status_time(F.col("st_created_at")).alias("created"),
+                       F.col("st_entities.hashtags.text").alias("texts"), "timestamp")
+             .where(F.col("created").isNotNull()
+                    & (F.col("created") <= F.timestamp_seconds("timestamp") + F.expr(f"INTERVAL {FUTURE_TOLERANCE}")))
              .withWatermark("created", delay))
     # explode_outer: a plain explode lets the optimizer infer "has hashtags" and push that
     # filter below the watermark, so statuses without hashtags would not advance event time.
-    tags = timed.select("created", F.explode_outer(statuses.hashtag_texts(F.col("st"))).alias("hashtag")) \
-        .where(F.col("hashtag").isNotNull())
-    agg = (tags.groupBy(F.window("created", length).alias("w"), "hashtag")
+    return timed.select("created", F.explode_outer("texts").alias("hashtag")).where(F.col("hashtag").isNotNull())
+
+
+def event_windows(records: DataFrame, out_path: str, checkpoint: str, length: str = "3 minutes",
+                  delay: str = "10 minutes", bounded: bool = True) -> StreamingQuery:
+    """Event-time tumbling windows of ``length`` per hashtag, append mode.
+
+    ``delay`` must cover how far the topic is out of order between micro-batches; what comes later is
+    dropped and counted in the query's ``numRowsDroppedByWatermark``.
+    """
+    agg = (timed_tags(records, delay).groupBy(F.window("created", length).alias("w"), "hashtag")
            .agg(F.count(F.lit(1)).alias("cnt"))
            .select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "hashtag", "cnt"))
     w = (agg.writeStream.outputMode("append").format("parquet").option("path", out_path)
@@ -148,14 +167,7 @@ def running_totals(records: DataFrame, out_path: str, checkpoint: str, delay: st
     Keys are hourly event-time windows, so with the watermark the state of
     an hour is dropped once it can no longer change.
     """
-    st = records.select(statuses.parse_status(F.col("value").cast("string")).alias("st"))
-    timed = (st.select(timefmt.parse_status_time(F.col("st.created_at")).alias("created"), "st")
-             .where(F.col("created").isNotNull()).withWatermark("created", delay))
-    # explode_outer: a plain explode lets the optimizer infer "has hashtags" and push that
-    # filter below the watermark, so statuses without hashtags would not advance event time.
-    tags = timed.select("created", F.explode_outer(statuses.hashtag_texts(F.col("st"))).alias("hashtag")) \
-        .where(F.col("hashtag").isNotNull())
-    agg = (tags.groupBy(F.window("created", "1 hour").alias("w"), "hashtag")
+    agg = (timed_tags(records, delay).groupBy(F.window("created", "1 hour").alias("w"), "hashtag")
            .agg(F.count(F.lit(1)).alias("cnt")))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -170,6 +182,11 @@ def running_totals(records: DataFrame, out_path: str, checkpoint: str, delay: st
     return _start(w, bounded, None)
 
 
+def dropped_late(query: StreamingQuery) -> int:
+    """Rows that a finished query dropped behind its watermark, over the progress it still holds."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
 def latest_totals(spark: SparkSession, out_path: str) -> DataFrame:
     """Last emitted total per key (totals never decrease, so the max is the last)."""
     return (spark.read.parquet(out_path).groupBy(*hashtags.STATS_KEYS)
@@ -205,40 +222,20 @@ def decoded_totals(spark: SparkSession, records_path: str) -> DataFrame:
 
 # --------------------------------------------------------- archive merge
 
-def archive_merge(records: DataFrame, deltas_root: str, checkpoint: str, bounded: bool = True,
+def archive_merge(records: DataFrame, archive_root: str, checkpoint: str, bounded: bool = True,
                   interval: str = "2 seconds") -> StreamingQuery:
-    """Merge each batch's hourly counts into a replay-safe archive ledger.
+    """Merge each batch's hourly counts into the date/hour-partitioned archive.
 
-    Empty batches are skipped.  A batch writes only its own ``batch_id=``
-    partition (dynamic overwrite), so a batch that is re-run after a
-    failure replaces its earlier output instead of double counting.
-    Totals are the sum over batches (``archive_totals``); ``compact`` folds
-    the ledger into the date/hour archive.
+    Empty batches are skipped.  The merge runs under the micro-batch's id: a batch that is
+    replayed after a failure is finished or skipped (``plans.archive``), never counted twice.
     """
+    from larkspur.plans import archive
+
     def merge(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        counts = hashtags.batch_hourly_counts(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        (counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(deltas_root))
+        archive.upsert(batch.sparkSession, hashtags.batch_hourly_counts(batch), archive_root,
+                       batch_id=f"{checkpoint}#{batch_id}")
 
     w = records.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return _start(w, bounded, interval)
-
-
-DELTAS_SCHEMA = "date string, hour string, hashtag string, cnt bigint, batch_id bigint"
-
-
-def archive_totals(spark: SparkSession, deltas_root: str) -> DataFrame:
-    """Totals over all batch deltas (declared schema keeps "09" as text)."""
-    return (spark.read.schema(DELTAS_SCHEMA).parquet(deltas_root)
-            .groupBy(*hashtags.STATS_KEYS).agg(F.sum("cnt").cast("bigint").alias("cnt")))
-
-
-def compact(spark: SparkSession, deltas_root: str, archive_root: str) -> int:
-    """Fold the ledger totals into the date/hour-partitioned archive (overwrite of touched hours)."""
-    from larkspur.plans import archive
-    totals = archive_totals(spark, deltas_root)
-    staged_hours = totals.select("date", "hour").distinct().count()
-    archive.write_partitions(totals, archive_root)
-    return staged_hours

@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.functions import codec
+from larkspur.plans import archive
 from larkspur.plans.queries_hashtags import records
 from larkspur.plans.sqlfix import STATUS_TAGS
 from larkspur.registry import register
@@ -18,8 +19,10 @@ from larkspur.session import scratch_path
 from larkspur.sources.topic import RECORD_SCHEMA
 from larkspur.streaming import hashtag_stream as hs
 
-MIN_TOPIC_FILES = 6
-TRIGGERS = 3          # micro-batches per bounded run of a multi-batch query
+# The topic is published in time order, one slice of days after the other; inside a slice files are
+# in no order, so the watermark of an event-time query covers a slice.
+SLICE_DAYS = 7
+SLICE_DELAY = f"{SLICE_DAYS} days"
 # Control record: a status far in the future without hashtags; it only moves
 # event time forward so the last open windows close.
 SENTINEL_VALUE = '{"created_at":"Fri Jan 01 00:00:00 +0000 2100","entities":{"hashtags":[]}}'
@@ -29,33 +32,27 @@ SELECT date, hour, hashtag, count(*) AS cnt FROM tags GROUP BY date, hour, hasht
 
 
 def write_topic(spark: SparkSession, sf_dir: str, where=None, path: str | None = None) -> str:
-    """Publish status records as Parquet files under a topic folder.
+    """Publish status records as Parquet files under a topic folder, slice by slice of ``SLICE_DAYS``.
 
-    The files follow the input's own partitioning (at least a few files, so a
-    bounded run has several micro-batches); nothing is funnelled into a fixed
+    The files of a slice follow the input's own partitioning; nothing is funnelled into a fixed
     small number of writers.
     """
     path = path or scratch_path(spark, "topic")
     rec = records(spark, sf_dir)
     if where is not None:
         rec = rec.where(where)
-    if rec.rdd.getNumPartitions() < MIN_TOPIC_FILES:
-        rec = rec.repartition(MIN_TOPIC_FILES)
-    rec.write.mode("append").parquet(path)
+    lo, hi = rec.agg(F.min("timestamp"), F.max("timestamp")).first()
+    step = SLICE_DAYS * 86400
+    for start in range(lo, hi + 1, step) if lo is not None else []:
+        rec.where(F.col("timestamp").between(start, start + step - 1)).write.mode("append").parquet(path)
     return path
 
 
-def files_per_trigger(spark: SparkSession, topic: str) -> int:
-    """Files per micro-batch so that the topic's current files make about TRIGGERS batches."""
-    n = len(spark.read.schema(RECORD_SCHEMA).parquet(topic).inputFiles())
-    return max(1, -(-n // TRIGGERS))
-
-
 @register("stream_hashtag_deltas", _COUNTS_SQL)
 def stream_hashtag_deltas(spark, sf_dir):
     topic = write_topic(spark, sf_dir)
     out, ckpt = scratch_path(spark, "s1-records"), scratch_path(spark, "ckpt")
-    hs.run(hs.arrival_deltas(hs.record_stream(spark, topic, files_per_trigger(spark, topic)), out, ckpt))
+    hs.run(hs.arrival_deltas(hs.record_stream(spark, topic), out, ckpt))
     return hs.decoded_totals(spark, out)
 
 
@@ -73,7 +70,7 @@ def stream_hashtag_windows(spark, sf_dir):
     for value, epoch in zip(controls, epochs):
         spark.createDataFrame([("control", value, "statuses", 0, -1, epoch, 0)], RECORD_SCHEMA) \
             .write.mode("append").parquet(topic)
-        hs.run(hs.event_windows(hs.record_stream(spark, topic), out, ckpt))
+        hs.run(hs.event_windows(hs.record_stream(spark, topic), out, ckpt, delay=SLICE_DELAY))
     return spark.read.schema("window_start string, hashtag string, cnt bigint").parquet(out)
 
 
@@ -81,14 +78,14 @@ def stream_hashtag_windows(spark, sf_dir):
 def stream_hashtag_totals(spark, sf_dir):
     topic = write_topic(spark, sf_dir)
     out, ckpt = scratch_path(spark, "s-totals"), scratch_path(spark, "ckpt")
-    hs.run(hs.running_totals(hs.record_stream(spark, topic), out, ckpt))
+    hs.run(hs.running_totals(hs.record_stream(spark, topic), out, ckpt, delay=SLICE_DELAY))
     return hs.latest_totals(spark, out)
 
 
 def _two_stage(spark, sf_dir) -> str:
     topic = write_topic(spark, sf_dir)
     s1, s2 = scratch_path(spark, "s1-records"), scratch_path(spark, "s2-rollup")
-    hs.run(hs.arrival_deltas(hs.record_stream(spark, topic, files_per_trigger(spark, topic)), s1,
+    hs.run(hs.arrival_deltas(hs.record_stream(spark, topic), s1,
                              scratch_path(spark, "ckpt")))
     hs.run(hs.rollup_stage(hs.stats_record_stream(spark, s1), s2, scratch_path(spark, "ckpt")))
     return s2
@@ -112,9 +109,9 @@ def stream_restart(spark, sf_dir):
     """Stop after the first topic partitions, restart from the checkpoint when the rest arrives."""
     topic = write_topic(spark, sf_dir, where=F.col("partition") != 2)
     out, ckpt = scratch_path(spark, "s1-records"), scratch_path(spark, "ckpt")
-    hs.run(hs.arrival_deltas(hs.record_stream(spark, topic, files_per_trigger(spark, topic)), out, ckpt))
+    hs.run(hs.arrival_deltas(hs.record_stream(spark, topic), out, ckpt))
     write_topic(spark, sf_dir, where=F.col("partition") == 2, path=topic)
-    hs.run(hs.arrival_deltas(hs.record_stream(spark, topic, files_per_trigger(spark, topic)), out, ckpt))
+    hs.run(hs.arrival_deltas(hs.record_stream(spark, topic), out, ckpt))
     return hs.decoded_totals(spark, out)
 
 
@@ -122,5 +119,5 @@ def stream_restart(spark, sf_dir):
 def stream_archive_merge(spark, sf_dir):
     topic = write_topic(spark, sf_dir)
     root, ckpt = scratch_path(spark, "s-archive"), scratch_path(spark, "ckpt")
-    hs.run(hs.archive_merge(hs.record_stream(spark, topic, files_per_trigger(spark, topic)), root, ckpt))
-    return hs.archive_totals(spark, root)
+    hs.run(hs.archive_merge(hs.record_stream(spark, topic), root, ckpt))
+    return archive.read_archive(spark, root)
