@@ -21,7 +21,7 @@ def encode(stats: DataFrame) -> DataFrame:
 
 def stat_key(value: Column) -> Column:
     """Everything before the last delimiter (``date;hour;hashtag``)."""
-    return F.regexp_extract(value, r"^(.*);[^;]*$", 1)
+    return F.regexp_extract(value, r"(?s)^(.*);[^;]*$", 1)
 
 
 def stat_count(value: Column) -> Column:

@@ -1,8 +1,11 @@
 from hypothesis import given, settings, strategies as st
 
 from larkspur.functions import codec
+from larkspur.session import scratch_path
+from larkspur.sources import delimited
+from pyspark.sql import types as T
 
-tags = st.text(alphabet=st.sampled_from(list("ab;#é _")), min_size=1, max_size=8)
+tags = st.text(alphabet=st.sampled_from(list("ab;#é _\n\t\"\\\r")), min_size=1, max_size=8)
 
 
 def test_encode_keys_and_values(spark):
@@ -31,3 +34,22 @@ def test_decode_columns_tolerates_short_keys(spark):
     recs = spark.createDataFrame([("k", "a;5"), ("k", "d;h;t;2")], "key string, value string")
     got = sorted((tuple(r) for r in codec.decode_columns(recs).collect()), key=str)
     assert got == sorted([("a", None, None, 5), ("d", "h", "t", 2)], key=str)
+
+
+odd = st.text(alphabet=st.sampled_from(list("ab;\n\t\"\\\r,'nrt0\0N é")), max_size=8)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(odd, min_size=1, max_size=6))
+def test_text_files_lose_no_character(spark, values):
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType()), T.StructField("n", T.IntegerType())])
+    rows = [(v, None if i % 3 == 0 else v[::-1], i) for i, v in enumerate([*values, "\\N", ""])]
+    path = scratch_path(spark, "t-tsv-odd")
+    delimited.write_tsv(spark.createDataFrame(rows, schema), path)
+    assert sorted(tuple(r) for r in delimited.read_tsv(spark, path, schema, escapes=True).collect() if r.b is not None) == \
+        sorted(r for r in rows if r[1] is not None)
+    assert spark.read.text(path).count() == len(rows)
+    stats = [("2024-01-01", "09", v, i) for i, v in enumerate(values) if v]
+    path = scratch_path(spark, "t-stats-odd")
+    delimited.write_stats_csv(spark.createDataFrame(stats, "date string, hour string, hashtag string, cnt long"), path)
+    assert sorted(tuple(r) for r in delimited.read_stats_csv(spark, path).collect()) == sorted(stats)
