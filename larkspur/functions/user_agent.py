@@ -17,6 +17,8 @@ UNKNOWN = "Unknown"
 # Browser rules in order -> (regex, output; "{1}" = first group).
 BROWSER_RULES = [
     (r"Opera Mini", "Opera Mini"),
+    (r"OPR/(\d+)", "Opera {1}"),
+    (r"Edge?/(\d+)", "Edge {1}"),
     (r"IEMobile/(\d+)", "IE Mobile {1}"),
     (r"MSIE (\d+)", "Internet Explorer {1}"),
     (r"Trident/7.*rv:(\d+)", "Internet Explorer {1}"),
@@ -24,6 +26,8 @@ BROWSER_RULES = [
     (r"Chrome/\d+\S* Mobile", "Chrome Mobile"),
     (r"Chrome/(\d+)", "Chrome {1}"),
     (r"Version/\S+ Mobile/\S+ Safari", "Mobile Safari"),
+    (r"BlackBerry|BB10", "BlackBerry"),
+    (r"Version/(\d+)\S* Safari", "Safari {1}"),
     (r"AppleWebKit", "Apple WebKit"),
 ]
 
@@ -32,11 +36,15 @@ OS_RULES = [
     (r"Windows Phone OS (\d+)", "Windows Phone {1}", "Mobile"),
     (r"iPad.*OS (\d+)_", "iOS {1} (iPad)", "Tablet"),
     (r"iPhone.*OS (\d+)_", "iOS {1} (iPhone)", "Mobile"),
-    (r"Android (\d+)", "Android {1}.x", "Mobile"),
+    (r"Android (\d+).*Mobile", "Android {1}.x", "Mobile"),
+    (r"Android (\d+)", "Android {1}.x", "Tablet"),
     (r"Android", "Android", "Mobile"),
+    (r"BlackBerry|BB10", "BlackBerry OS", "Mobile"),
+    (r"Windows NT 10", "Windows 10", "Computer"),
     (r"Windows NT 6\.3", "Windows 8.1", "Computer"),
     (r"Windows NT 6\.2", "Windows 8", "Computer"),
     (r"Windows NT 6\.1", "Windows 7", "Computer"),
+    (r"Windows NT 6\.0", "Windows Vista", "Computer"),
     (r"Windows NT 5\.1", "Windows XP", "Computer"),
     (r"Ubuntu", "Ubuntu", "Computer"),
     (r"Mac OS X", "Mac OS X", "Computer"),
@@ -78,14 +86,6 @@ def _index(ua: Column, patterns: list[str]) -> Column:
     return expr.otherwise(F.lit(-1))
 
 
-def os_name(ua: Column) -> Column:
-    return _chain(ua, [(p, _render(ua, p, t)) for p, t, _ in OS_RULES])
-
-
-def device(ua: Column) -> Column:
-    return _chain(ua, [(p, F.lit(d)) for p, _, d in OS_RULES])
-
-
 def _os_from_rule(ua: Column, idx: Column) -> Column:
     expr = None
     for i, (p, t, _) in enumerate(OS_RULES):

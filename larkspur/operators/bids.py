@@ -6,21 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.functions import timefmt, user_agent
-from larkspur.plans.joins import bounded_broadcast
 
 ATTRS = ("device", "os", "browser")
 
 
-def user_agents_view(bids: DataFrame) -> DataFrame:
-    """cityid, device, os, browser: one row per bid."""
-    return user_agent.enrich(bids.select("cityid", "useragent")).select("cityid", *ATTRS)
-
-
-def value_counts(view: DataFrame, attr: str) -> DataFrame:
-    """COUNT(attr) per (cityid, attr) over an already parsed view."""
-    return view.groupBy("cityid", attr).agg(F.count(attr).alias("cnt"))
-
-
 def city_value_counts(bids: DataFrame, attr: str) -> DataFrame:
     """COUNT(attr) per (cityid, attr) straight from bids.
 
@@ -48,9 +37,9 @@ def top_per_city(counts: DataFrame, attr: str) -> DataFrame:
 def joinback(view: DataFrame, counts: DataFrame, attr: str) -> DataFrame:
     """Each detail row with its group's count (u JOIN d ON cityid, attr).
 
-    The aggregate side is broadcast only under a proven row bound.
+    Spark broadcasts the aggregate side by its size in bytes, else splits a skewed city.
     """
-    return view.join(bounded_broadcast(counts), ["cityid", attr], "inner")
+    return view.join(counts, ["cityid", attr], "inner")
 
 
 def profile_counts(bids: DataFrame) -> DataFrame:
@@ -85,7 +74,7 @@ def city_top_profile(bids: DataFrame, cities: DataFrame) -> DataFrame:
     wide = top.groupBy("cityid").agg(*[
         F.max(F.when(F.col("kind") == a, F.col("value"))).alias(a) for a in ATTRS])
     wide = wide.where(F.col("device").isNotNull() & F.col("os").isNotNull() & F.col("browser").isNotNull())
-    c = bounded_broadcast(cities.select("id", "name"))
+    c = cities.select("id", "name")
     return (wide.join(c, F.col("cityid").try_cast("int") == F.col("id"), "inner")
             .select("name", *ATTRS))
 

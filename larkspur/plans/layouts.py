@@ -55,6 +55,29 @@ def write_layout(spark: SparkSession, df: DataFrame, name: str, fmt: str = "orc"
     return table
 
 
+@contextmanager
+def layout(spark: SparkSession, df: DataFrame, name: str, **options):
+    """``write_layout`` for a block: yields (table, path) and drops the table afterwards.
+
+    The files stay below the scratch folder of the application, so frames read from the path
+    (``read_layout``) outlive the block and no table is left in the catalog.
+    """
+    path = scratch_path(spark, name)
+    table = write_layout(spark, df, name, path=path, **options)
+    try:
+        yield table, path
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def read_layout(spark: SparkSession, path: str, schema, fmt: str = "orc") -> DataFrame:
+    """The rows of a layout's files, with the declared schema."""
+    r = spark.read.schema(schema)
+    if fmt == "csv":
+        r = r.option("sep", "\t").option("nullValue", "\\N")
+    return r.format(fmt).load(path)
+
+
 @contextmanager
 def dynamic_partition_overwrite(spark: SparkSession):
     """Session-scoped dynamic partition overwrite.

@@ -72,14 +72,14 @@ def _top_sql(attr):
 def bids_tsv_scan(spark, sf_dir):
     path = scratch_path(spark, "bids-tsv")
     delimited.write_tsv(bids(spark, sf_dir), path)
-    return src.read_bids_tsv(spark, path)
+    return src.read_bids_tsv(spark, path, escapes=True)
 
 
 @register("cities_tsv_scan", "SELECT CAST(n_nationkey AS INTEGER) AS id, n_name AS name FROM nation")
 def cities_tsv_scan(spark, sf_dir):
     path = scratch_path(spark, "cities-tsv")
     delimited.write_tsv(cities(spark, sf_dir), path)
-    return src.read_cities_tsv(spark, path)
+    return src.read_cities_tsv(spark, path, escapes=True)
 
 
 # ---------------------------------------------------------- UA parsing (F2, G3)
@@ -91,18 +91,15 @@ def ua_enrich(spark, sf_dir):
 
 @register("ua_lateral", f"WITH {BIDS_SQL} SELECT bidid, device, os, browser FROM bids")
 def ua_lateral(spark, sf_dir):
-    fn = user_agent.register_sql_function(spark)
-    view = f"bids_ext_{abs(hash(sf_dir)) % 10**8}"
-    bids(spark, sf_dir).createOrReplaceTempView(view)
-    return spark.sql(f"SELECT b.bidid, ua.device, ua.os, ua.browser FROM {view} b, LATERAL {fn}(b.useragent) ua")
+    with catalog.user_agents_view(spark, bids(spark, sf_dir)) as view:
+        return spark.sql(f"SELECT bidid, device, os, browser FROM {view}")
 
 
 @register("user_agents_view", f"WITH {BIDS_SQL} SELECT cityid, device, os, browser FROM bids")
 def user_agents_view(spark, sf_dir):
-    db = catalog.ensure_database(spark, "logs", scratch_path(spark, "logs-db"))
-    with catalog.using_database(spark, db):
-        catalog.user_agents_view(spark, bids(spark, sf_dir))
-        return spark.sql("SELECT cityid, device, os, browser FROM user_agents")
+    with catalog.temporary_database(spark, "logs", scratch_path(spark, "logs-db")), \
+            catalog.user_agents_view(spark, bids(spark, sf_dir)) as view:
+        return spark.sql(f"SELECT cityid, device, os, browser FROM {view}")
 
 
 # --------------------------------------------------------- counts and ranks
@@ -133,7 +130,8 @@ SELECT u.bidid, u.cityid, u.device, d.cnt FROM bids u JOIN d ON u.cityid = d.cit
 def city_value_joinback(spark, sf_dir):
     b = bids(spark, sf_dir)
     view = user_agent.enrich(b.select("bidid", "cityid", "useragent")).select("bidid", "cityid", "device")
-    return ops.joinback(view, ops.value_counts(view, "device"), "device").select("bidid", "cityid", "device", "cnt")
+    counts = ops.city_value_counts(b, "device")         # rules once per distinct (city, user agent)
+    return ops.joinback(view, counts, "device").select("bidid", "cityid", "device", "cnt")
 
 
 @register("city_top_profile", f"""WITH {BIDS_SQL},
@@ -189,37 +187,37 @@ def _layout_query(name, fmt, partition_by, buckets, sort_by=("useragent",), comp
             df = df.withColumnRenamed("publicdomain", "domain")
         if partition_by != "bid_date":
             df = df.drop("bid_date")
-        if via_insert:
-            # CREATE TABLE (empty) then INSERT OVERWRITE ... PARTITION(bid_date) SELECT ...
-            t = layouts.write_layout(spark, df.limit(0), name, fmt=fmt, partition_by=partition_by,
-                                     buckets=buckets, sort_by=sort_by, compression=compression,
-                                     bloom_columns=bloom)
-            layouts.insert_overwrite(spark, df, t, partition_by=partition_by, bucket_by="cityid", buckets=buckets)
-        else:
-            t = layouts.write_layout(spark, df, name, fmt=fmt, partition_by=partition_by, buckets=buckets,
-                                     sort_by=sort_by, compression=compression, bloom_columns=bloom)
-        out = ["bidid", "cityid", "useragent", partition_by] + (list(ops.ATTRS) if enriched else [])
-        return spark.table(t).select(*out)
+        schema = df.schema
+        options = dict(fmt=fmt, partition_by=partition_by, buckets=buckets, sort_by=sort_by,
+                       compression=compression, bloom_columns=bloom)
+        # CREATE TABLE (empty) then INSERT OVERWRITE ... PARTITION(bid_date) SELECT ..., or both at once.
+        with layouts.layout(spark, df.limit(0) if via_insert else df, name, **options) as (t, path):
+            if via_insert:
+                layouts.insert_overwrite(spark, df, t, partition_by=partition_by, bucket_by="cityid", buckets=buckets)
+            return layouts.read_layout(spark, path, schema, fmt)
     q.__name__ = name
     return q
 
 
-def _layout_sql(partition_expr, enriched=False):
-    extra = ", device, os, browser" if enriched else ""
-    return f"WITH {BIDS_SQL} SELECT bidid, cityid, useragent, {partition_expr}{extra} FROM bd"
+def _layout_sql(enriched=False, dated=True, renamed=False):
+    """Every column of the layout: the bid, its date or tiny region, the parsed user agent."""
+    cols = [{"regionid": "CAST(regionid AS TINYINT) AS regionid", "publicdomain": "publicdomain AS domain"}.get(c, c)
+            if renamed else c for c in (f.name for f in src.BIDS_SCHEMA.fields)]
+    cols += ["bid_date"] * dated + list(ops.ATTRS) * enriched
+    return f"WITH {BIDS_SQL} SELECT {', '.join(cols)} FROM bd"
 
 
-register("bids_layout_text", _layout_sql("bid_date"))(
+register("bids_layout_text", _layout_sql())(
     _layout_query("bids_layout_text", "csv", "bid_date", 2))
-register("bids_layout_region", _layout_sql("regionid"))(
+register("bids_layout_region", _layout_sql(dated=False))(
     _layout_query("bids_layout_region", "csv", "regionid", 2))
-register("bids_layout_enriched", _layout_sql("bid_date", enriched=True))(
+register("bids_layout_enriched", _layout_sql(enriched=True))(
     _layout_query("bids_layout_enriched", "csv", "bid_date", 4, enriched=True))
-register("bids_layout_orc", _layout_sql("bid_date"))(
+register("bids_layout_orc", _layout_sql())(
     _layout_query("bids_layout_orc", "orc", "bid_date", 4, sort_by=("cityid", "useragent"), via_insert=True))
-register("bids_layout_orc_region", _layout_sql("CAST(regionid AS TINYINT) AS regionid"))(
+register("bids_layout_orc_region", _layout_sql(dated=False, renamed=True))(
     _layout_query("bids_layout_orc_region", "orc", "regionid", 5, region_tinyint=True, rename_domain=True))
-register("bids_layout_orc_plain", _layout_sql("CAST(regionid AS TINYINT) AS regionid"))(
+register("bids_layout_orc_plain", _layout_sql(dated=False, renamed=True))(
     _layout_query("bids_layout_orc_plain", "orc", "regionid", 5, compression="none",
                   region_tinyint=True, rename_domain=True))
 
@@ -230,6 +228,6 @@ LOOKUP_PREDICATE = "device = 'Tablet' OR browser = 'Opera Mini' OR os = 'Linux'"
 SELECT bidid, device, os, browser FROM bids WHERE {LOOKUP_PREDICATE}""")
 def bids_lookup_bloom(spark, sf_dir):
     df = user_agent.enrich(ops.with_bid_date(bids(spark, sf_dir)))
-    t = layouts.write_layout(spark, df, "bids_lookup", fmt="orc", partition_by="bid_date", buckets=4,
-                             sort_by=("device", "browser", "os"), bloom_columns=ops.ATTRS)
-    return spark.table(t).where(LOOKUP_PREDICATE).select("bidid", *ops.ATTRS)
+    with layouts.layout(spark, df, "bids_lookup", fmt="orc", partition_by="bid_date", buckets=4,
+                        sort_by=("device", "browser", "os"), bloom_columns=ops.ATTRS) as (_, path):
+        return layouts.read_layout(spark, path, df.schema).where(LOOKUP_PREDICATE).select("bidid", *ops.ATTRS)

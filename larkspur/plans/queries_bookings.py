@@ -55,15 +55,8 @@ def couples_market_counts(spark, sf_dir):
 def couples_partial_merge(spark, sf_dir):
     src = spark.read.text(stored_lines(spark, sf_dir)).withColumn("split", F.input_file_name())
 
-    def couples_of(df):
-        v = F.split(F.col("value"), ",", -1)
-        return (df.select("split", v.alias("v"))
-                .where((F.size("v") == bookings.N_VALUES) & (F.get(F.col("v"), bookings.ADULTS) == "2"))
-                .select("split", F.get(F.col("v"), bookings.CONTINENT).alias("continent"),
-                        F.get(F.col("v"), bookings.COUNTRY).alias("country"), F.get(F.col("v"), bookings.MARKET).alias("market")))
-
     partial_dir = scratch_path(spark, "couples-partials")
-    couples.partial_counts(src, couples_of).write.text(partial_dir)
+    couples.partial_counts(src, lambda df: bookings.parse_couples(df, keep=("split",))).write.text(partial_dir)
     return couples.merge_partials(spark.read.text(f"{partial_dir}/part-*"))
 
 

@@ -50,10 +50,10 @@ def booking_lines(lineitem: DataFrame, supplier: DataFrame, nation: DataFrame,
     return j.select(line.alias("value"))
 
 
-def parse_couples(lines: DataFrame) -> DataFrame:
-    """Keep lines of exactly 22 values whose adults value is exactly "2"."""
+def parse_couples(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Keep lines of exactly 22 values whose adults value is exactly "2"; ``keep`` names columns to carry."""
     v = F.split(F.col("value"), ",", -1)
-    return (lines.select(v.alias("v"))
+    return (lines.select(*keep, v.alias("v"))
             .where((F.size("v") == N_VALUES) & (F.get(F.col("v"), ADULTS) == "2"))
-            .select(F.get(F.col("v"), CONTINENT).alias("continent"), F.get(F.col("v"), COUNTRY).alias("country"),
+            .select(*keep, F.get(F.col("v"), CONTINENT).alias("continent"), F.get(F.col("v"), COUNTRY).alias("country"),
                     F.get(F.col("v"), MARKET).alias("market")))
