@@ -10,21 +10,14 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 FACT_TABLES = {"lineitem", "events", "documents", "orders", "pages", "conversations"}
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over all task slots when it has fewer splits than slots.
-
-    A large input already has more splits than slots and is returned as
-    is; only a small input (one file, one row group) pays one cheap
-    exchange so that parsing work is not confined to one task.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+# Session setting: deal a scan of a fact table over so many tasks.  Unset, a scan keeps its own splits; it
+# is for files that Spark cannot split (one row group) and is set by bench.py and the tests.
+SCAN_PARTITIONS = "larkspur.scan.partitions"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, parallel: bool = True) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if parallel and name in FACT_TABLES else df
+    deal = spark.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(deal)) if deal and parallel and name in FACT_TABLES else df

@@ -13,7 +13,7 @@ SMALL_SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from larkspur.session import get_session
-    s = get_session("local[4]", shuffle_partitions=4)
+    s = get_session("local[4]", shuffle_partitions=4, extra={"larkspur.scan.partitions": "4"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     from larkspur.session import drop_scratch
