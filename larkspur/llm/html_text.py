@@ -227,7 +227,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     templates = (seen.groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
                  .join(pages_of, "host").where(F.col("n") >= share * F.col("pages")).select("host", "hash"))
     # Only pages that hold a template; most pages have none left inside their main part.
-    cut = seen.join(templates, ["host", "hash"]).groupBy("row").agg(F.collect_set("hash").alias("templates"))
+    # Written first, so that Spark knows its size and need not shuffle the texts where it is small.
+    cut = store.saved(seen.join(templates, ["host", "hash"]).groupBy("row").agg(F.collect_set("hash").alias("templates")),
+                      "page-templates")
     kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["under"], F.coalesce("templates", F.array().cast("array<long>"))))
     rows = rows.join(cut, "row", "left").withColumn("blocks", kept)
     return (rows.select("page_id", "url", F.array_join(text, "\n\n").alias("text"))
