@@ -12,8 +12,8 @@ Without given targets a margin's target shares are its own shares raised to ``TE
 normalised, which lifts small sources, languages and topics.
 
 Defined cases: a null source, language or topic is a category of its own; a null or empty text weighs
-0 tokens and gets its cell's probability; a cell of no tokens, or whose target is 0, is dropped if the target is 0
-and kept otherwise; categories missing from given targets have target 0; rows with one id share one draw;
+0 tokens and gets its cell's probability; a cell without any tokens is kept, unless a given target is 0
+for it; categories missing from given targets have target 0; rows with one id share one draw;
 extra columns are kept, those named like an added column are replaced; no rows give no rows.
 """
 
@@ -116,7 +116,7 @@ def mix(docs: DataFrame, targets: dict[str, dict[str | None, float]] | None = No
     cells = (weighed.groupBy(F.col("mix_source").alias("source"), F.col("mix_lang").alias("lang"), "topic")
              .agg(F.sum("n_tokens").alias("tokens")))
     cells = fitted_cells(cells, targets, temper, rounds)
-    positive = " and ".join(f"goal_{m} > 0" for m in MARGINS)
+    positive = " and ".join(["true", *(f"goal_{m} > 0" for m in targets or ())])
     cells = store.saved(cells.select(F.col("source").alias("c_source"), F.col("lang").alias("c_lang"),
                                      F.col("topic").alias("c_topic"), "share", "fitted",
                                      F.expr(positive).alias("wanted")), "mix-factors")
