@@ -14,10 +14,12 @@ shingles (ASCII letters compare without case).  The plan, all sizes alike:
 3. The smallest document of each such group is its head; (head, member) rows are *blocks*, the top
    nodes of the signature tree: every pair that can link is inside one block.
 4. Heads are compared with their members: bitmap bound, then the exact sets.  Their
-   components label the members.  Blocks whose members carry several labels go through the
-   dual traversal (``signature_tree``); a block larger than ``NODE_ROWS`` is dealt out as
-   pairs of nodes of bounded size, after the same size and label pruning.  So a block of
-   near copies, joined by its head, costs a row per copy, not a pair per two.
+   components label the members.  Inside a block, members of close sizes form cells; cells with
+   several labels go through the dual traversal (``signature_tree``), which passes over pairs of
+   one label; a cell larger than ``NODE_ROWS`` is dealt out as pairs of nodes of bounded size.
+   Cells of over ``LINK_ROWS`` members are traversed in linking rounds first, where every
+   document proposes a few partners only: the links found join labels, so that the last
+   traversal, which is complete for all cells, meets few pairs inside a group of near copies.
 5. Pairs that the bitmaps cannot exclude are decided on the exact sets.  No pair, partner or
    candidate is capped.
 
@@ -45,6 +47,7 @@ K, NUM, DEN = 4, 85, 100
 FREQUENT = 1000          # a shingle in one of so many documents is frequent
 STRETCH = 1 << 22        # shingles whose counts are kept before they are handed on
 NODE_ROWS = 1024
+LINK_ROWS, LINK_ROUNDS, PROPOSALS = 64, 1, 4
 FILTER_BITS = 1 << 23    # of the fixed-size filter (1 MB) of ids whose sets are wanted
 
 PROFILE = "doc_id long, n long, d1 long, d2 long, shingle long, docs long"
@@ -173,17 +176,28 @@ def _close_stars(num: int, den: int):
     return run
 
 
-def _traverse(num: int, den: int):
-    """Document pairs that may link, of rows (task, side, doc_id, label, n, bits) sorted by task."""
+def _traverse(num: int, den: int, proposals: int | None):
+    """Document pairs that may link, of rows (task, side, doc_id, label, n, bits) sorted by task.
+
+    With ``proposals`` a document is the first of at most so many pairs of a task.
+    """
     def pairs(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(rows)
         ids, side = np.asarray(t["doc_id"]), np.asarray(t["side"])
         sizes, labels, maps = np.asarray(t["n"]), np.asarray(t["label"]), t["bits"].to_pylist()
+        used = np.zeros(len(ids), np.int64)
         sides = []
         for k in (0, 1):
             at = np.flatnonzero(side == k)
             sides.append(tree.trees(sizes[at], labels[at], [maps[i] for i in at], at))
         for i, j in tree.candidates(sides[0], sides[1] or None, num, den):
+            if proposals is not None:
+                order = np.argsort(i, kind="stable")
+                i, j = i[order], j[order]
+                nth = np.arange(len(i)) - np.searchsorted(i, i)
+                keep = used[i] + nth < proposals
+                i, j = i[keep], j[keep]
+                np.add.at(used, i, 1)
             a, b = ids[i], ids[j]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))],
                                              names=["a", "b"])
@@ -206,57 +220,69 @@ def _traverse(num: int, den: int):
     return run
 
 
-def _tasks(blocks: DataFrame, sigs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows (task, side, doc_id, label, n, bits): blocks of several labels, large ones as node pairs."""
-    members = (blocks.select("head", F.col("member").alias("doc_id"))
-               .unionAll(blocks.select("head", F.col("head").alias("doc_id")).distinct())
+def _open_cells(blocks: DataFrame, labels: DataFrame, num: int, den: int, over: int) -> DataFrame:
+    """Members (head, cell, rows, doc_id, label, n) of cells with several labels and more than ``over`` members.
+
+    A cell holds the members of a block (without its head, whose pairs are decided) whose sizes are
+    close: cells are twice as wide as the size ratio of a link, on two grids shifted by half a cell, so
+    two documents that can link share a cell of one grid or the other.
+    """
+    step = F.log(F.lit(den / num)) * 1.001
+    cells = [F.struct(F.lit(g).alias("grid"), F.floor((F.log("n") + g * step) / (2 * step)).alias("at")) for g in (0, 1)]
+    members = (blocks.select("head", F.col("member").alias("doc_id"), "n")
                .join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-               .withColumn("label", F.coalesce("component", "doc_id")).drop("component"))
-    open_blocks = (members.groupBy("head").agg(F.count("*").alias("rows"), F.min("label").alias("l0"),
-                                               F.max("label").alias("l1"))
-                   .where("rows >= 3 and l0 <> l1").select("head", "rows"))
-    members = store.saved(members.join(open_blocks, "head")
-                          .join(sigs.select("doc_id", "n", "bits"), "doc_id"), "open-blocks")
+               .select("head", "doc_id", "n", F.coalesce("component", "doc_id").alias("label"))
+               .withColumn("cell", F.explode(F.array(*cells))))
+    open_cells = (members.groupBy("head", "cell")
+                  .agg(F.count("*").alias("rows"), F.min("label").alias("l0"), F.max("label").alias("l1"))
+                  .where((F.col("rows") > over) & (F.col("l0") != F.col("l1"))).select("head", "cell", "rows"))
+    return members.join(open_cells, ["head", "cell"])
+
+
+def _tasks(members: DataFrame) -> DataFrame:
+    """Rows (task, side, doc_id, label, n): whole cells, and node pairs of large ones."""
+    cols = ["task", "side", "doc_id", "label", "n"]
     small = (members.where(F.col("rows") <= NODE_ROWS)
-             .select(F.xxhash64("head").alias("task"), F.lit(0).alias("side"), "doc_id", "label", "n", "bits"))
+             .withColumn("task", F.xxhash64("head", "cell")).withColumn("side", F.lit(0)).select(cols))
     large = members.where(F.col("rows") > NODE_ROWS)
-    # Nodes of a large block: documents of one size class (linked sizes are in the same or the next
-    # one), those of a label with many members apart from the rest.
-    pure = (large.groupBy("head", "label").count().where(F.col("count") > NODE_ROWS)
-            .select("head", "label", F.col("label").alias("family")))
-    classed = (large.withColumn("class", F.floor(F.log("n") / F.log(F.lit(DEN / NUM))))
-               .join(pure, ["head", "label"], "left").fillna({"family": -1}))
-    nodes = (classed.groupBy("head", "family", "class").count()
-             .withColumn("parts", F.ceil(F.col("count") / NODE_ROWS).cast("int")))
-    node_key = F.struct("class", "family", "part")
-    dealt = (classed.join(nodes.select("head", "family", "class", "parts"), ["head", "family", "class"])
-             .withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
-             .withColumn("node", node_key))
-    listed = nodes.withColumn("part", F.explode(F.expr("sequence(0, parts - 1)"))).withColumn("node", node_key)
-    one, two = listed.select("head", F.col("node").alias("x")), listed.select("head", F.col("node").alias("y"))
-    met = (one.join(two, "head").where("x <= y and y.class <= x.class + 1")
-           .where("not (x.family = y.family and x.family >= 0)")
-           .withColumn("task", F.xxhash64("head", "x", "y")))
-    cols = ["task", "side", "doc_id", "label", "n", "bits"]
-    left = (dealt.withColumnRenamed("node", "x").join(met, ["head", "x"]).withColumn("side", F.lit(0)).select(cols))
-    right = (dealt.withColumnRenamed("node", "y").join(met.where("x <> y"), ["head", "y"])
-             .withColumn("side", F.lit(1)).select(cols))
-    return small.unionAll(left).unionAll(right)
+    if large.isEmpty():
+        return small
+    # Nodes of a large cell: parts of bounded size, those of a label with many members apart from the rest.
+    place = ["head", "cell", "family"]
+    pure = (large.groupBy("head", "cell", "label").count().where(F.col("count") > NODE_ROWS)
+            .select("head", "cell", "label", F.col("label").alias("family")))
+    grouped = large.join(pure, ["head", "cell", "label"], "left").fillna({"family": -1})
+    nodes = (grouped.groupBy(place).count().withColumn("parts", F.ceil(F.col("count") / NODE_ROWS).cast("int")))
+    node = F.struct("family", "part")
+    dealt = (grouped.join(nodes.select(*place, "parts"), place)
+             .withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int")).withColumn("node", node))
+    listed = nodes.withColumn("part", F.explode(F.expr("sequence(0, parts - 1)"))).withColumn("node", node)
+    one = listed.select("head", "cell", F.col("node").alias("x"))
+    two = listed.select("head", "cell", F.col("node").alias("y"))
+    met = (one.join(two, ["head", "cell"]).where("x <= y and not (x.family = y.family and x.family >= 0)")
+           .withColumn("task", F.xxhash64("head", "cell", "x", "y")))
+    left = dealt.withColumnRenamed("node", "x").join(met, ["head", "cell", "x"]).withColumn("side", F.lit(0))
+    right = (dealt.withColumnRenamed("node", "y").join(met.where("x <> y"), ["head", "cell", "y"])
+             .withColumn("side", F.lit(1)))
+    return small.unionAll(left.select(cols)).unionAll(right.select(cols))
 
 
 def _exact(spark: SparkSession, texts: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the threshold; written to the shared folder."""
-    pairs = store.saved(pairs.distinct(), "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b"))
-    wanted = spark.sparkContext.broadcast(_wanted_filter(ids))
-    sets = texts.mapInArrow(_wanted_sets(k, wanted), "doc_id long, tokens array<long>")
-    sets = store.saved(sets.join(ids.distinct(), "doc_id", "left_semi"), "sets")
-    a = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("ta"))
-    b = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("tb"))
-    shared = F.size(F.array_intersect("ta", "tb")).cast("long")
-    return store.saved(pairs.join(a, "a").join(b, "b")
-                       .withColumn("o", shared).withColumn("u", F.size("ta") + F.size("tb") - F.col("o"))
-                       .where(f"{den} * o >= {num} * u").select("a", "b"), "links")
+    with store.Scratch(spark) as scratch:
+        pairs = scratch.saved(pairs.distinct(), "pairs")
+        if pairs.isEmpty():
+            return spark.createDataFrame([], PAIR)
+        ids = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b"))
+        wanted = spark.sparkContext.broadcast(_wanted_filter(ids))
+        sets = texts.mapInArrow(_wanted_sets(k, wanted), "doc_id long, tokens array<long>")
+        sets = scratch.saved(sets.join(ids.distinct(), "doc_id", "left_semi"), "sets")
+        a = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("ta"))
+        b = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("tb"))
+        shared = F.size(F.array_intersect("ta", "tb")).cast("long")
+        return store.saved(pairs.join(a, "a").join(b, "b")
+                           .withColumn("o", shared).withColumn("u", F.size("ta") + F.size("tb") - F.col("o"))
+                           .where(f"{den} * o >= {num} * u").select("a", "b"), "links")
 
 
 def join(docs: DataFrame, k: int = K, num: int = NUM, den: int = DEN,
@@ -283,42 +309,52 @@ def join(docs: DataFrame, k: int = K, num: int = NUM, den: int = DEN,
 
     chosen = (rows.where("n > 0 and doc_id is not null").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep")))
     chosen = store.saved(chosen, "representatives")
+    # Rows that share an id are one document: the representatives of its texts are joined.
+    owned = rows.join(chosen, ["d1", "d2", "n"]).select("doc_id", "rep")
+    several = owned.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z")
+    joined = store.saved(owned.join(several, "doc_id").select("a", F.col("rep").alias("b")).where("a <> b"), "same-ids")
     sigs = texts.mapInArrow(_signatures(k, num, den, frequent), SIGNATURE)
     sigs = store.saved(sigs.join(chosen.select(F.col("rep").alias("doc_id"), "d1", "d2"), ["doc_id", "d1", "d2"])
                        .select("doc_id", "n", "bits", "keys").distinct(), "signatures")
 
     postings = sigs.select("doc_id", "n", F.explode("keys").alias("key"))
     heads = (postings.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("n", "doc_id")).alias("h"))
-             .where("c > 1").select("key", F.col("h.doc_id").alias("head")))
+             .where("c > 1").select("key", F.col("h.doc_id").alias("head"), F.col("h.n").alias("head_n")))
     blocks = store.saved(postings.join(heads, "key").where("head <> doc_id")
-                         .select("head", F.col("doc_id").alias("member")).distinct(), "blocks")
+                         .select("head", "head_n", F.col("doc_id").alias("member"), "n").distinct(), "blocks")
 
-    a = sigs.select(F.col("doc_id").alias("head"), F.col("n").alias("na"), F.col("bits").alias("bits_a"))
-    b = sigs.select(F.col("doc_id").alias("member"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"))
-    fits = f"{den} * na >= {num} * nb and {den} * nb >= {num} * na"
-    # Sizes first, on narrow rows; the bitmaps of what is left follow.
-    near = (blocks.join(a.drop("bits_a"), "head").join(b.drop("bits_b"), "member").where(fits).select("head", "member"))
+    a = sigs.select(F.col("doc_id").alias("head"), F.col("bits").alias("bits_a"))
+    b = sigs.select(F.col("doc_id").alias("member"), F.col("bits").alias("bits_b"))
+    # A head is its block's smallest document.  Sizes first, on narrow rows; the bitmaps of what is left follow.
+    near = blocks.where(f"{den} * head_n >= {num} * n")
     stars = (near.join(b, "member").join(a, "head")
-             .select(F.col("head").alias("a"), F.col("member").alias("b"), "na", "nb", "bits_a", "bits_b")
+             .select(F.col("head").alias("a"), F.col("member").alias("b"), F.col("head_n").alias("na"),
+                     F.col("n").alias("nb"), "bits_a", "bits_b")
              .mapInArrow(_close_stars(num, den), PAIR))
     ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-    links = _exact(spark, texts, stars.select(ordered), k, num, den)
-    labels = store.saved(graph.components(links), "labels")
-
-    tasks = _tasks(blocks, sigs, labels)
-    rest = (tasks.repartition("task").sortWithinPartitions("task", "side", "doc_id")
-            .mapInArrow(_traverse(num, den), PAIR))
-    more = _exact(spark, texts, rest, k, num, den)
-    links = links.unionAll(more).distinct()
-    same = store.saved(graph.components(links), "components")
-
-    reps = (chosen.join(same.withColumnRenamed("id", "rep"), "rep", "left")
+    links = joined.unionAll(_exact(spark, texts, stars.select(ordered), k, num, den))
+    labels = graph.components(links)
+
+    for over in [LINK_ROWS] * LINK_ROUNDS + [1]:
+        with store.Scratch(spark) as scratch:
+            members = scratch.saved(_open_cells(blocks, labels, num, den, over), "open-cells")
+            if members.isEmpty():
+                continue
+            rest = (_tasks(members).join(sigs.select("doc_id", "bits"), "doc_id")
+                    .select("task", "side", "doc_id", "label", "n", "bits")
+                    .repartition("task").sortWithinPartitions("task", "side", "doc_id")
+                    .mapInArrow(_traverse(num, den, PROPOSALS if over > 1 else None), PAIR))
+            found = _exact(spark, texts, rest, k, num, den)
+            if not found.isEmpty():
+                links = links.unionAll(found)
+                labels = graph.components(links)
+
+    reps = (chosen.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
             .select("d1", "d2", "n", F.coalesce("component", "rep").alias("found")))
-    # Rows that share an id: the document reaches what any of its rows reaches.
     out = (rows.join(reps, ["d1", "d2", "n"], "left")
            .select("doc_id", F.col("n").alias("n_shingles"),
                    F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id")).alias("component_id")))
-    return out, links
+    return out, links.distinct()
 
 
 def components(docs: DataFrame, **options) -> DataFrame:

@@ -15,10 +15,19 @@ from larkspur.session import scratch_path
 TEXT_ROWS_PER_BATCH = 256
 
 
+# Shuffle files of an execution are of no use after its result has been written.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def write(df: DataFrame, name: str) -> str:
     """Write ``df`` to a new scratch folder; returns its path."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    spark = df.sparkSession
+    path, before = scratch_path(spark, name), spark.conf.get(DROP_SHUFFLES, "false")
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
     return path
 
 
@@ -28,11 +37,24 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(schema).parquet(write(df, name))
 
 
-def drop(spark: SparkSession, *paths: str) -> None:
-    """Delete scratch folders whose rows have all been written further."""
-    for p in paths:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+class Scratch:
+    """Scratch tables for a block of steps; deleted at its end, when what was made of them is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def saved(self, df: DataFrame, name: str) -> DataFrame:
+        schema = df.schema
+        self.paths.append(write(df, name))
+        return self.spark.read.schema(schema).parquet(self.paths[-1])
+
+    def __exit__(self, *error) -> None:
+        for p in self.paths:
+            path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small_batches(spark: SparkSession) -> None:
