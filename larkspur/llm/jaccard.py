@@ -225,18 +225,22 @@ def _open_cells(blocks: DataFrame, labels: DataFrame, num: int, den: int, over:
 
     A cell holds the members of a block (without its head, whose pairs are decided) whose sizes are
     close: cells are twice as wide as the size ratio of a link, on two grids shifted by half a cell, so
-    two documents that can link share a cell of one grid or the other.
+    two documents that can link share a cell of one grid or the other.  The second grid is for
+    pairs that a border of the first parts: its cells count only with members on both sides.
     """
     step = F.log(F.lit(den / num)) * 1.001
     cells = [F.struct(F.lit(g).alias("grid"), F.floor((F.log("n") + g * step) / (2 * step)).alias("at")) for g in (0, 1)]
     members = (blocks.select("head", F.col("member").alias("doc_id"), "n")
                .join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
                .select("head", "doc_id", "n", F.coalesce("component", "doc_id").alias("label"))
-               .withColumn("cell", F.explode(F.array(*cells))))
+               .withColumn("cells", F.array(*cells)).withColumn("side", F.col("cells")[0]["at"])
+               .withColumn("cell", F.explode("cells")).drop("cells"))
     open_cells = (members.groupBy("head", "cell")
-                  .agg(F.count("*").alias("rows"), F.min("label").alias("l0"), F.max("label").alias("l1"))
-                  .where((F.col("rows") > over) & (F.col("l0") != F.col("l1"))).select("head", "cell", "rows"))
-    return members.join(open_cells, ["head", "cell"])
+                  .agg(F.count("*").alias("rows"), F.min("label").alias("l0"), F.max("label").alias("l1"),
+                       F.min("side").alias("s0"), F.max("side").alias("s1"))
+                  .where((F.col("rows") > over) & (F.col("l0") != F.col("l1")))
+                  .where((F.col("cell.grid") == 0) | (F.col("s0") != F.col("s1"))).select("head", "cell", "rows"))
+    return members.drop("side").join(open_cells, ["head", "cell"])
 
 
 def _tasks(members: DataFrame) -> DataFrame:
