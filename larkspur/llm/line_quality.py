@@ -5,14 +5,16 @@ windows.  Then lines are normalised (case, digits, white space), hashed, and cou
 per host (the ``source``) over its distinct texts, so that copies of one document do not turn
 its lines into boilerplate.  A line found in at least ``LINE_DOCS`` texts and ``LINE_SHARE`` of
 the host's texts is removed; a document left with under ``LEAST_LEFT`` of its words is depleted
-and rejected.
+and rejected.  ``rules`` gives the counts and the verdict, ``cleaned`` the texts without those lines.
 
 One scan of the texts writes measures and line hashes to the shared folder; what follows moves
-rows of a few numbers, counted by partial aggregates before any shuffle.
+rows of a few numbers, counted by partial aggregates before any shuffle.  ``cleaned`` scans the texts once
+more and joins them, by host and digest, with the few that lose a line or are rejected.
 
 Defined cases: a null or wordless text has zero counts and fails the base rules; a null host is a
 host of its own; repeated rows are rows of their own with one text; extra columns
-stay out; no rows give no rows.
+stay out of ``rules`` and stay in ``cleaned``, where a null text stays null and lines without a word stay
+in their places; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from larkspur.llm import store
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 LINE_DOCS, LINE_SHARE = 10, 0.05
-LEAST_LEFT = 0.3
+LEAST_LEFT = 0.5             # a document made up mainly of frequent lines is depleted
 
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]"
@@ -59,14 +61,22 @@ def _covered(starts) -> F.Column:
                        F.lit(0).cast("long"), lambda a, n: a + n)
 
 
+def _host(host_col: str) -> list[F.Column]:
+    return [F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), F.col(host_col).isNull().alias("no_host")]
+
+
+def _digest(text) -> F.Column:
+    return F.xxhash64(text, F.length(text))
+
+
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """Per row: id, host, digest of the text, the base counts, and (hash, words) of every line with a word."""
-    t = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"),
-                    F.col(host_col).isNull().alias("no_host"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    t = docs.select(F.col(id_col).alias("doc_id"), *_host(host_col),
+                    F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     # Each layer's arrays are used several times in the next, so Catalyst keeps the layers apart.
     t = t.select("doc_id", "host", "no_host", "text", words(F.col("text")).alias("w"),
                  F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD)).alias("lines"))
-    t = t.select("doc_id", "host", "no_host", F.xxhash64("text", F.length("text")).alias("digest"),
+    t = t.select("doc_id", "host", "no_host", _digest(F.col("text")).alias("digest"),
                  F.size("w").cast("long").alias("n_words"), F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
                  F.size(F.regexp_extract_all("text", F.lit(SYMBOLS), F.lit(0))).cast("long").alias("n_symbols"),
                  (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
@@ -94,19 +104,53 @@ def frequent_lines(measured: DataFrame, least_docs: int = LINE_DOCS, share: floa
     return seen.join(texts, host).where(F.col("docs") >= share * F.col("texts")).select(*host, "line")
 
 
+def _removed(rows: DataFrame, *more: F.Column) -> DataFrame:
+    """Per row with a frequent line: the words in such lines, and ``more`` aggregates of them."""
+    host = ["host", "no_host"]
+    lines = rows.select("row", *host, F.explode("lines").alias("x")).select("row", *host, "x.line", "x.words")
+    return lines.join(frequent_lines(rows), [*host, "line"]).groupBy("row").agg(F.sum("words").alias("removed"), *more)
+
+
+def _left() -> F.Column:
+    return F.col("n_words") - F.coalesce("removed", F.lit(0))
+
+
+def _kept() -> F.Column:
+    return ~base_failed() & (_left() >= LEAST_LEFT * F.col("n_words"))
+
+
 def rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """Per row: doc_id, the counts, base_failed, n_left (words outside removed lines) and kept."""
     rows = store.saved(measures(docs, id_col, text_col, host_col)
                        .withColumn("row", F.monotonically_increasing_id()), "line-measures")
-    host = ["host", "no_host"]
-    lines = rows.select("row", *host, F.explode("lines").alias("x")).select("row", *host, "x.line", "x.words")
-    removed = (lines.join(frequent_lines(rows), [*host, "line"])
-               .groupBy("row").agg(F.sum("words").alias("removed")))
-    left = F.col("n_words") - F.coalesce("removed", F.lit(0))
-    return (rows.drop("lines").join(removed, "row", "left")
+    return (rows.drop("lines").join(_removed(rows), "row", "left")
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                    base_failed().alias("base_failed"), left.cast("long").alias("n_left"),
-                    (~base_failed() & (left >= LEAST_LEFT * F.col("n_words"))).alias("kept")))
+                    base_failed().alias("base_failed"), _left().cast("long").alias("n_left"), _kept().alias("kept")))
+
+
+def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
+    """``docs`` with every text rebuilt from its lines outside the frequent ones, in order, and the verdict as ``kept``."""
+    docs = store.without(docs, "kept")
+    names = docs.columns
+    rows = store.saved(measures(docs, id_col, text_col, host_col)
+                       .select("host", "no_host", "digest", "n_words", "n_repeat_words", "lines")
+                       .withColumn("row", F.monotonically_increasing_id()), "line-measures")
+    key = ["host", "no_host", "digest"]
+    gone = _removed(rows, F.collect_set("line").alias("gone"))
+    # Equal texts of a host have equal verdicts and lines.  Written first, so that Spark knows its size.
+    changed = store.saved(rows.drop("lines").join(gone, "row", "left").select(*key, "gone", _kept().alias("kept"))
+                          .where(F.col("gone").isNotNull() | ~F.col("kept"))
+                          .groupBy(*key).agg(F.first("gone").alias("gone"), F.first("kept").alias("kept")), "line-changes")
+    changed = changed.select(*(F.col(c).alias(f"line_{c}") for c in changed.columns))
+    host, no_host = _host(host_col)
+    out = docs.select(*names, host.alias("own_host"), no_host.alias("own_no_host"),
+                      _digest(F.coalesce(F.col(text_col), F.lit(""))).alias("own_digest"))
+    out = out.join(changed, (out["own_host"] == changed["line_host"]) & (out["own_no_host"] == changed["line_no_host"])
+                   & (out["own_digest"] == changed["line_digest"]), "left")
+    left = F.filter(F.split(text_col, "\n"), lambda x: ~(x.rlike(WORD) & F.array_contains("line_gone", F.xxhash64(normal_line(x)))))
+    text = F.when(F.col("line_gone").isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))
+    return (out.withColumn(text_col, text)
+            .select(*names, F.coalesce("line_kept", F.lit(True)).alias("kept")))
 
 
 ORACLE = rf"""
@@ -138,3 +182,16 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
          and n_words - gone >= {LEAST_LEFT} * n_words as kept
 from m
 """
+
+# The texts without their frequent lines, by the same counts.
+ORACLE_TEXTS = ORACLE.rpartition("m as (")[0] + rf"""
+place as (select r, source, unnest(string_split(text, chr(10))) as l, generate_subscripts(string_split(text, chr(10)), 1) as i from d),
+line as (select r, i, l, often.z is not null and regexp_matches(l, '[^\x20\x09-\x0D]') as frequent
+         from place left join often on place.source is not distinct from often.source and often.z =
+              trim(regexp_replace(regexp_replace(lower(l), '[0-9]+', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g'))),
+built as (select r, coalesce(string_agg(l, chr(10) order by i) filter (not frequent), '') as text from line group by r)
+select doc_id, built.text,
+       not (coalesce(ws.n, 0) < {MIN_WORDS} or 100 * coalesce(cov.n, 0) > {MAX_REPEAT_PERCENT} * coalesce(ws.n, 0))
+         and coalesce(ws.n, 0) - coalesce(gone.n, 0) >= {LEAST_LEFT} * coalesce(ws.n, 0) as kept
+from d join built using (r) left join ws using (r) left join cov using (r) left join gone using (r)
+"""

@@ -59,6 +59,15 @@ def op5_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op5_line_frequency_rules"] = line_quality.ORACLE
 
 
+@query
+def op5_line_frequency_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without the lines that are frequent in its host, and the verdict."""
+    return line_quality.cleaned(_table(spark, sf_dir, "documents")).select("doc_id", "text", "kept")
+
+
+ORACLES["op5_line_frequency_texts"] = line_quality.ORACLE_TEXTS
+
+
 @query
 def op6_raked_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cell, token weight, calibrated probability and draw of every document."""

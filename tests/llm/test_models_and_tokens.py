@@ -112,6 +112,25 @@ def test_line_rules_edges(spark):
     assert line_quality.rules(spark.createDataFrame([], "doc_id long, text string, source string")).count() == 0
 
 
+def test_frequent_lines_leave_the_texts(spark):
+    shared = [f"shared notice {'abcdefghijkl'[k]} is on every page of this site and says the same thing" for k in range(5)]
+    own = [" ".join(f"own{chr(97 + i)}{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(60)) for i in range(12)]
+    rows = [(i, f"{shared[0]}\n\n{w}\n  {shared[0].upper()}\n", "h") for i, w in enumerate(own)]
+    rows += [(50 + i, "\n".join([*shared, " ".join(w.split()[:20])]), "h") for i, w in enumerate(own)]
+    rows += [(70, rows[0][1], None), (71, None, "h"), (71, None, "h"), (72, "", "h"), (73, rows[0][1], "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, Text string, source string").withColumn("KEPT", F.lit(1)).withColumn("x", F.lit("y"))
+    out = line_quality.cleaned(docs)
+    assert out.columns == ["doc_id", "Text", "source", "x", "kept"]
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert out.count() == len(rows)
+    for i, w in enumerate(own):
+        assert got[i]["Text"] == f"\n{w}\n" and got[i]["kept"]
+        assert got[50 + i]["Text"] == " ".join(w.split()[:20]) and not got[50 + i]["kept"]     # mainly shared lines
+    assert got[73]["Text"] == got[0]["Text"] and got[70]["Text"] == rows[0][1]
+    assert got[71]["Text"] is None and got[72]["Text"] == ""
+    assert {r["doc_id"]: r["kept"] for r in line_quality.rules(docs).collect()} == {i: r["kept"] for i, r in got.items()}
+
+
 def test_mixture_reaches_given_targets(spark):
     r = random.Random(0)
     rows = [(i, " ".join(["word"] * r.randrange(1, 300)), r.choice("aaab"), r.choice(["x", "x", None])) for i in range(3000)]
