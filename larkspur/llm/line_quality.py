@@ -26,7 +26,7 @@ from larkspur.llm import store
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-LINE_DOCS, LINE_SHARE = 10, 0.05
+LINE_DOCS, LINE_SHARE = 10, 0.001
 LEAST_LEFT = 0.5             # a document made up mainly of frequent lines is depleted
 
 SPACE = r"[\x20\x09-\x0D]"

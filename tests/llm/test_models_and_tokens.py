@@ -131,6 +131,16 @@ def test_frequent_lines_leave_the_texts(spark):
     assert {r["doc_id"]: r["kept"] for r in line_quality.rules(docs).collect()} == {i: r["kept"] for i, r in got.items()}
 
 
+def test_lines_are_frequent_in_hot_and_small_hosts(spark):
+    # In the hot host 30 of 3,000 texts share a line (1 %) and 9 another; in the small one 10 of 40.
+    own = [(i, ("hot line\n" if i < 30 else "rare line\n" if i < 39 else "") + f"t{chr(97 + i % 26)}{'x' * (i // 26)}", "hot") for i in range(3000)]
+    own += [(5000 + i, ("small line\n" if i < 10 else "hot line\n" if i < 19 else "") + f"s{'x' * i}", "small") for i in range(40)]
+    docs = spark.createDataFrame(own, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["text"].split("\n")[0] for r in line_quality.cleaned(docs).collect()}
+    assert not {"hot line", "small line"} & {got[i] for i in [*range(30), *range(5000, 5010)]}
+    assert all(got[i] == "rare line" for i in range(30, 39)) and all(got[i] == "hot line" for i in range(5010, 5019))
+
+
 def test_mixture_reaches_given_targets(spark):
     r = random.Random(0)
     rows = [(i, " ".join(["word"] * r.randrange(1, 300)), r.choice("aaab"), r.choice(["x", "x", None])) for i in range(3000)]
