@@ -22,8 +22,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id."""
-    return jaccard.keep_one(docs)
+    """One document of each group of near copies (5-word similarity of 0.8 or more): the one with the smallest id."""
+    return jaccard.keep_one(docs, k=5, num=80, den=100)
 
 
 def pii_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

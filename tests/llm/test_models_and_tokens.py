@@ -225,3 +225,13 @@ def test_pipeline_stages(spark, sf_dir):
     assert set(queries.QUERIES) >= {"op4_ngram_jaccard_join"} and jaccard.K == 4
     run = corpus_pipeline.run(spark, sf_dir)
     assert sorted(map(tuple, run.collect())) == sorted(map(tuple, kept.collect()))
+
+
+def test_pipeline_joins_at_five_words_and_four_fifths(spark):
+    base = [f"w{k}" for k in range(200)]
+    near = [f"x{k}" if k in (30, 70, 110, 150) else w for k, w in enumerate(base)]      # 176/216 of the 5-word, 181/213 of the 4-word shingles
+    far = [f"x{k}" if k in (20, 60, 100, 140, 180) else f"v{k}" for k in range(200)]    # 171/221 of the 5-word shingles of its pair
+    rows = [(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(far)), (4, " ".join(f"v{k}" for k in range(200)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"] for r in jaccard.keep_one(docs).collect()} == {1, 2, 3, 4}
+    assert {r["doc_id"] for r in corpus_pipeline.ngram_jaccard_join(spark, docs, "").collect()} == {1, 3, 4}
