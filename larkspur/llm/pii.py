@@ -1,11 +1,12 @@
 """Personal data replaced by keyed surrogates of the same type and format.
 
-Detected: e-mail addresses, phone numbers, card numbers, IPv4 addresses, and personal names that
-start with a listed given name.  An entity's surrogate is a keyed format-preserving permutation of
+Detected: e-mail addresses; phone numbers with a country code, a leading 0 or the usual separators; card
+numbers of 13 to 19 digits with a valid check digit (four groups of four also without); IPv4 and IPv6 addresses; personal
+names that start with a listed given name, and their surnames wherever they recur in that document.  An entity's surrogate is a keyed format-preserving permutation of
 its canonical value (a Feistel network over the characters' own alphabets), so one entity gets the
 same surrogate everywhere (coreference) and two entities of one format get different ones.  A
-card keeps its first digit and its check-digit offset, a phone its punctuation and country code 1, an address its
-dots; a given name becomes one of the same gender and script, a surname one of the same script, both in the same
+card keeps its first digit and its check-digit offset, a phone its punctuation, leading zeros and country code 1, an address its
+dots, or its first group and its groups of zeros; a given name becomes one of the same gender and script, a surname one of the same script, both in the same
 letter case; text around an entity stays.
 
 Collision check: the distinct entities of the corpus and their surrogates meet in Spark.  A
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 from collections.abc import Iterator
 
@@ -37,7 +39,16 @@ MOST_NONCES = 64
 EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
 IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)"
 CARD = r"(?<![\d.])(?:\d{4}[ -]?){3}\d{4}(?!\d)"
+LONG_CARD = r"(?<![\d.+])[2-6](?:[ -]?\d){12,18}(?!\d)"
+IP6 = r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:]|\.\d)"
 PHONE = r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3,4}[ .-]\d{4}(?!\d)|(?<![\w.])\+\d{8,15}(?!\d)"
+_GAP = "[ .\\-/\u00a0\u202f]"
+PHONE += "|" + "|".join((
+    rf"(?<![\w.])\+[1-9](?:\)?{_GAP}?\(?\d){{7,14}}(?!\d)",                                             # +44 20 7946 0958
+    rf"(?<![\w.])\(0\d{{1,5}}\){_GAP}?\d(?:{_GAP}?\d){{4,9}}(?!\d)",                                     # (030) 1234567
+    rf"(?<![\w.,:/+-])(?!\d\d([./ -])\d\d[./ -]\d{{4}}(?!\d))0\d(?:{_GAP}?\d){{7,11}}(?!\d)",            # 01 23 45 67 89, not a date
+    rf"(?<![\w.,:/+-])[6-9]\d\d(?:{_GAP}\d\d){{3}}(?!\d)",                                               # 912 34 56 78
+    r"(?<![\w.,:/+-])8(?:[ -]?\(\d{3}\)[ -]?|[ -]\d{3}[ -])\d{3}[ -]?\d\d[ -]?\d\d(?!\d)"))            # 8 (495) 123-45-67
 
 # Given names by script and gender, and surnames by script.
 GIVEN = {
@@ -57,24 +68,86 @@ _ANY_GIVEN = "|".join(sorted((v for n in NAMES for v in {n.title(), n.upper()}),
 NAME = rf"\b(?:{_ANY_GIVEN})\b(?:[ \t]+[^\W\d_a-zа-я][^\W\d_]+)?"
 KINDS = (("email", EMAIL), ("card", CARD), ("ip", IP), ("phone", PHONE), ("name", NAME))
 ENTITY = re.compile("|".join(f"(?P<{k}>{p})" for k, p in KINDS))
+# Shapes that are entities only if their value is valid; tried before the others at a place.
+CHECKED = re.compile(f"(?P<card>{LONG_CARD})|(?P<ip>{IP6})")
 # Necessary for any detection; checked for whole batches before a text is looked at.
-MAY_HOLD = r"@|\d[\d .()-]{5,}\d|" + "|".join(sorted(v for n in NAMES for v in {n.title(), n.upper()}))
+MAY_HOLD = "@|[0-9][0-9 .()/\u00a0\u202f-]{5,}[0-9]|[0-9A-Fa-f]{0,4}:[0-9A-Fa-f]{0,4}:|" + "|".join(sorted(v for n in NAMES for v in {n.title(), n.upper()}))
+
+
+def _script(word: str) -> str:
+    return "cyrillic" if "\u0400" <= word[0] <= "\u04ff" else "latin"
 
 
 def canonical(kind: str, surface: str) -> list[tuple[str, str]]:
     """The entities (type, value) in a detection; a full name holds a given name and a surname."""
     if kind == "name":
         given, *rest = surface.split(None, 1)
+        if given.lower() not in NAMES:                          # a surname that recurs alone
+            return [(f"surname-{_script(given)}", given.lower())]
         script = NAMES[given.lower()][0]
         return [("given", given.lower())] + [(f"surname-{script}", r.lower()) for r in rest]
     if kind in ("card", "phone"):
         return [(kind, re.sub(r"\D", "", surface))]
+    if kind == "ip" and ":" in surface:
+        return [("ip6", ipaddress.IPv6Address(surface).exploded)]
     return [(kind, surface.lower() if kind == "email" else surface)]
 
 
+def _valid(m: re.Match) -> int | None:
+    """Where the valid value at the start of a checked shape ends."""
+    text, a, z = m.string, m.start(), m.end()
+    if m.lastgroup == "card":
+        for e in range(z, a + 12, -1):                          # a number may follow the card's last group
+            if text[e - 1].isdigit() and not text[e: e + 1].isdigit():
+                digits = re.sub(r"\D", "", text[a:e])
+                if len(digits) < 13:
+                    return None
+                if (int(digits[-1]) + _luhn(digits[:-1])) % 10 == 0:
+                    return e
+        return None
+    try:
+        groups = ipaddress.IPv6Address(text[a:z]).exploded.split(":")
+    except ValueError:
+        return None
+    known = [g for g in groups if g != "0000"]
+    return z if groups[0] != "0000" and len(known) > 1 and any(c.isdigit() for c in text[a:z]) else None
+
+
+def _shapes(text: str) -> Iterator[tuple[int, int, str]]:
+    """Detections by shape: the leftmost, then the longest."""
+    none = (len(text) + 1, 0, "")
+
+    def plain(at: int) -> tuple[int, int, str]:
+        m = ENTITY.search(text, at)
+        return (m.start(), m.end(), m.lastgroup) if m else none
+
+    def checked(at: int) -> tuple[int, int, str]:
+        while m := CHECKED.search(text, at):
+            if (end := _valid(m)) is not None:
+                return m.start(), end, m.lastgroup
+            at = m.start() + 1
+        return none
+
+    a, b = plain(0), checked(0)
+    while (best := min(a, b, key=lambda x: (x[0], -x[1]))) is not none:
+        yield best
+        a = plain(best[1]) if a[0] < best[1] else a
+        b = checked(best[1]) if b[0] < best[1] else b
+
+
 def detect(text: str) -> Iterator[tuple[int, int, str]]:
-    for m in ENTITY.finditer(text):
-        yield m.start(), m.end(), m.lastgroup
+    found = list(_shapes(text))
+    surnames = {w for a, z, kind in found if kind == "name" for w in text[a:z].split()[1:]}
+    if surnames:
+        forms = sorted({re.escape(f) for w in surnames for f in (w, w.title(), w.upper())}, key=lambda f: (-len(f), f))
+        taken, k = list(found), 0
+        for m in re.finditer(rf"(?<!\w)(?:{'|'.join(forms)})(?!\w)", text):
+            while k < len(taken) and taken[k][1] <= m.start():
+                k += 1
+            if k == len(taken) or taken[k][0] >= m.end():
+                found.append((m.start(), m.end(), "name"))
+        found.sort()
+    yield from found
 
 
 def _number(key: bytes, *parts: str) -> int:
@@ -108,6 +181,24 @@ def _luhn(digits: str) -> int:
     return sum(int(c) if k % 2 else sum(divmod(2 * int(c), 10)) for k, c in enumerate(digits[::-1], start=0)) % 10
 
 
+def _permuted_groups(key: bytes, value: str, nonce: int) -> str:
+    """A keyed permutation of the IPv6 addresses with one first group and the same groups of zeros."""
+    groups = [int(g, 16) for g in value.split(":")]
+    free = [i for i in range(1, 8) if groups[i]]
+    form, bits = f"{groups[0]}:{free}", 8 * len(free)
+    n = sum(groups[i] << 16 * k for k, i in enumerate(free))
+    while True:
+        left, right = n >> bits, n & (1 << bits) - 1
+        for r in range(8):
+            left, right = right, (left + _number(key, "ip6", form, str(nonce), str(r), str(right))) & (1 << bits) - 1
+        n = left << bits | right
+        if all(n >> 16 * k & 0xFFFF for k in range(len(free))):         # else on along the cycle
+            break
+    for k, i in enumerate(free):
+        groups[i] = n >> 16 * k & 0xFFFF
+    return ":".join(f"{g:04x}" for g in groups)
+
+
 def surrogate(key: bytes, kind: str, value: str, nonce: int = 0) -> str:
     """The surrogate of a canonical value."""
     if kind == "given":
@@ -128,12 +219,14 @@ def surrogate(key: bytes, kind: str, value: str, nonce: int = 0) -> str:
         for r in range(8):
             left, right = right, (left + _number(key, kind, str(nonce), str(r), str(right))) & 0xFFFF
         return ".".join(str(b) for b in (left >> 8, left & 255, right >> 8, right & 255))
+    if kind == "ip6":
+        return _permuted_groups(key, value, nonce)
     if kind == "card":
         body = value[0] + permute(key, kind, value[1:-1], nonce)
         offset = (int(value[-1]) + _luhn(value[:-1])) % 10     # 0 for a valid number; kept
         return body + str((offset - _luhn(body)) % 10)
     if kind == "phone":
-        keep = 1 if len(value) == 11 and value[0] == "1" else 0
+        keep = 1 if len(value) == 11 and value[0] == "1" else len(value) - len(value.lstrip("0"))
         return value[:keep] + permute(key, kind, value[keep:], nonce)
     name, _, top = value.rpartition(".")                         # e-mail: the last label stays
     return permute(key, kind, name, nonce) + "." + top
@@ -154,6 +247,13 @@ def render(kind: str, surface: str, values: list[str]) -> str:
     if kind in ("card", "phone"):
         digits = iter(values[0])
         return re.sub(r"\d", lambda _: next(digits), surface)
+    if kind == "ip" and ":" in surface:
+        groups = values[0].split(":")
+        if "::" not in surface:                                  # eight groups, each as long as it was at least
+            out = ":".join(f"{int(g, 16):0{len(s)}x}" for g, s in zip(groups, surface.split(":"), strict=True))
+        else:
+            out = str(ipaddress.IPv6Address(values[0]))
+        return out.upper() if surface.isupper() else out
     if kind == "email":
         return "".join(v.upper() if s.isupper() else v for s, v in zip(surface, values[0], strict=True))
     return values[0]
