@@ -2,10 +2,12 @@
 
 Each text is scanned for assignments, access keys and long hex strings.  Encoded layers
 are then unwrapped: a decoder rewrites every piece it can decode (percent escapes, Unicode and
-character escapes, base64, and compressed bytes inside base64) in place and keeps, for every
+character escapes, base64 on one or several lines, and compressed bytes inside base64) in place and keeps, for every
 character of the new layer, the range of the original text it came from.  A changed layer joins the worklist,
 is scanned like the text itself, and its matches become spans of the original.  Layers already met
 (by digest) are not worked on again, so cycles end; the list runs until no decoder changes anything.
+Decoded bytes are read as UTF-8 with any characters, as UTF-16 (by its mark, or by its zero bytes), else one character per
+byte where that may hold a match or a further layer.  Concatenated and doubly compressed streams are read to their end.
 The base spans always stay.
 
 A vectorised regular expression per Arrow batch picks the texts that need a closer look; the rest cost
@@ -53,6 +55,8 @@ MAY_DECODE = r"%[0-9A-Fa-f]{2}|\\[ux]|&#|[A-Za-z0-9+/_-]{16}"
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|(?:\\x[0-9A-Fa-f]{2})+|&#(?:\d{1,7}|[xX][0-9A-Fa-f]{1,6});")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+# What bytes that are no text must show to be worked on.
+SIGNS = re.compile(r"(?i:password|passwd|secret|token|api_?key)|AKIA|[0-9a-f]{24}|" + MAY_DECODE)
 MOST_DECOMPRESSED = 64 << 20
 
 Span = tuple[int, int, int]           # start, kind, end
@@ -67,30 +71,65 @@ def scan(text: str) -> list[Span]:
     return sorted(out)
 
 
-def _readable(data: bytes) -> str | None:
-    """The bytes as text if they are UTF-8 without control characters."""
+def _utf16(data: bytes) -> str | None:
+    """The encoding of bytes that look like UTF-16: a mark, or zeros in most high bytes."""
+    if data[:2] in (b"\xff\xfe", b"\xfe\xff"):
+        return "utf-16-le" if data[0] == 0xFF else "utf-16-be"
+    low, high = data[::2].count(0), data[1::2].count(0)
+    half = len(data) // 4
+    return "utf-16-le" if high > half > low else "utf-16-be" if low > half > high else None
+
+
+def _readable(data: bytes) -> tuple[str, np.ndarray] | None:
+    """The bytes as text, with the end of each character's bytes; None for other bytes without a sign of a match or a layer."""
+    if not data:
+        return None
+    wide = _utf16(data)
+    if wide:
+        text = data[: len(data) // 2 * 2].decode(wide, errors="replace")
+        return text, np.minimum(np.cumsum([4 if ord(c) > 0xFFFF else 2 for c in text]), len(data))
     try:
         text = data.decode()
+        return text, np.cumsum([len(c.encode()) for c in text])
     except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\n\r" for c in text) else None
+        text = data.decode("latin-1")
+        return (text, np.arange(1, len(data) + 1)) if SIGNS.search(text) else None
 
 
 def _decompress(data: bytes) -> bytes | None:
-    """The content of gzip, zlib, bzip2 or xz bytes."""
+    """The content of gzip, zlib, bzip2 or xz bytes: all their streams, and what follows them."""
     makers = ((b"\x1f\x8b", lambda: zlib.decompressobj(31)), (b"\x78", lambda: zlib.decompressobj()),
               (b"BZh", bz2.BZ2Decompressor), (b"\xfd7zXZ", lzma.LZMADecompressor))
     for magic, make in makers:
         if data.startswith(magic):
-            try:
-                d = make()
-                out = d.decompress(data, MOST_DECOMPRESSED)
-                return out if d.eof else None
-            except (zlib.error, OSError, ValueError, lzma.LZMAError):
-                return None
+            parts, room = [], MOST_DECOMPRESSED
+            while data.startswith(magic):
+                try:
+                    d = make()
+                    part = d.decompress(data, room + 1)
+                except (zlib.error, OSError, ValueError, lzma.LZMAError):
+                    break
+                if len(part) > room or not d.eof and not parts:
+                    return None
+                parts.append(part)
+                room -= len(part)
+                data = d.unused_data.lstrip(b"\0") if d.eof else b""
+            return b"".join([*parts, data]) if parts else None
     return None
 
 
+def _content(data: bytes) -> bytes | None:
+    """What is left when compressed bytes are unwrapped until they are none; None if nothing was."""
+    out, met = _decompress(data), set()
+    while out is not None and (key := hashlib.sha256(out).digest()) not in met:
+        met.add(key)
+        inner = _decompress(out)
+        if inner is None:
+            break
+        out = inner
+    return out
+
+
 def _percent(m: re.Match) -> tuple[str, list[int], list[int]] | None:
     return _spread(unquote_to_bytes(m.group()), 3)
 
@@ -122,29 +161,80 @@ def _escape(m: re.Match) -> tuple[str, list[int], list[int]] | None:
     return text, [0, *ends[:-1].tolist()], ends.tolist()
 
 
-def _base64(m: re.Match) -> tuple[str, list[int], list[int]] | None:
-    s = m.group()
-    body = s.rstrip("=").replace("-", "+").replace("_", "/")
+def _base64_body(s: str, at: np.ndarray, end: int) -> tuple[str, list[int], list[int]] | None:
+    """Decoded base64 characters, whose places in the piece are ``at``; the piece ends at ``end``."""
+    body = s.replace("-", "+").replace("_", "/")
     if len(body) % 4 == 1:
         return None
     try:
         data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
     except binascii.Error:
         return None
-    plain = _decompress(data)
+    plain = _content(data)
     if plain is not None:
-        text = _readable(plain)
-        return (text, [0] * len(text), [len(s)] * len(text)) if text else None
-    text = _readable(data)
-    if text is None:
+        got = _readable(plain)
+        return (got[0], [0] * len(got[0]), [end] * len(got[0])) if got else None
+    got = _readable(data)
+    if got is None:
         return None
-    at = np.append(0, np.cumsum([len(c.encode()) for c in text]))
-    first, last = at[:-1], at[1:] - 1                     # bytes of each character
-    starts = first // 3 * 4 + first % 3
-    return text, starts.tolist(), (last // 3 * 4 + last % 3 + 2).tolist()
+    text, ends = got
+    first, last = np.append(0, ends[:-1]), ends - 1       # bytes of each character
+    return text, at[first // 3 * 4 + first % 3].tolist(), (at[last // 3 * 4 + last % 3 + 1] + 1).tolist()
+
+
+def _base64(m: re.Match) -> tuple[str, list[int], list[int]] | None:
+    body = m.group().rstrip("=")
+    return _base64_body(body, np.arange(len(body)), m.end() - m.start())
+
+
+class _Wrapped:
+    """Pieces of base64 that span lines of one width, the last of which may be shorter; used like a pattern."""
+
+    RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]+(?=={0,2}[ \t]*(?:\r?\n|\Z)))+={0,2}")
+    LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+
+    def finditer(self, text: str) -> Iterator[_Piece]:
+        for run in self.RUN.finditer(text):
+            lines = [(m.start(), m.end()) for m in self.LINE.finditer(text, run.start(), run.end())]
+            i = 0
+            while i + 1 < len(lines):
+                width = lines[i][1] - lines[i][0]
+                if i == 0 and text[text.rfind("\n", 0, lines[0][0]) + 1: lines[0][0]].strip():
+                    width = max(16, lines[1][1] - lines[1][0])    # the first line holds other text too
+                j = i + 1
+                while j < len(lines) and lines[j][1] - lines[j][0] == width:
+                    j += 1
+                size = [z - a for a, z in lines[j: j + 2]]
+                if size and size[0] < width and size[1:] != size[:1]:
+                    j += 1                                # the end of the piece, not the start of the next
+                if j > i + 1 and width >= 16:
+                    yield _Piece(text, lines[i:j])
+                    i = j
+                else:
+                    i += 1
+
+
+class _Piece:
+    def __init__(self, text: str, lines: list[tuple[int, int]]):
+        self.text, self.lines = text, lines
+
+    def start(self) -> int:
+        return self.lines[0][0]
+
+    def end(self) -> int:
+        return self.lines[-1][1]
+
+
+def _wrapped(m: _Piece) -> tuple[str, list[int], list[int]] | None:
+    for lines in (m.lines, m.lines[:-1]):                 # a last line may be a word that is not of the piece
+        got = _base64_body("".join(m.text[a:z] for a, z in lines),
+                           np.concatenate([np.arange(a, z) for a, z in lines]) - m.start(), lines[-1][1] - m.start())
+        if got is not None:
+            return got
+    return None
 
 
-DECODERS = ((PERCENT, _percent), (ESCAPE, _escape), (BASE64, _base64))
+DECODERS = ((PERCENT, _percent), (ESCAPE, _escape), (BASE64, _base64), (_Wrapped(), _wrapped))
 
 
 def _unwrap(layer: str, starts: np.ndarray, ends: np.ndarray, pattern: re.Pattern, decode):
