@@ -3,8 +3,8 @@
 Each page is parsed once.  Elements that are never article text (menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles, comments) go by tag, role, class or id.  The main part
 is the largest ``article``, else ``main``, else the body.  Every other element subtree gets a
-hash of its tags and text; Spark counts in how many different pages of its host each hash
-occurs, and subtrees on at least ``TEMPLATE_PAGES`` pages and ``TEMPLATE_SHARE`` of the host's
+hash of its tags and text; Spark counts in how many different pages of its host (by a digest of their
+blocks, so copies of a page count once) each hash occurs, and subtrees on at least ``TEMPLATE_PAGES`` pages and ``TEMPLATE_SHARE`` of the host's
 pages are deleted.  Inside an explicit main part only containers can be templates: a paragraph, heading or
 list item there is the article's own, however often the site repeats it.
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from larkspur.llm import store
 
-TEMPLATE_PAGES, TEMPLATE_SHARE = 5, 0.5
+TEMPLATE_PAGES, TEMPLATE_SHARE = 5, 0.01
 
 TAG = re.compile(r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"""
                  r"""|<([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)(?:>|\Z)|<([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)""", re.S)
@@ -218,13 +218,16 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1))
     rows = (pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
             .mapInArrow(_task, "page_id long, url string, blocks array<struct<text string, under array<long>>>"))
-    rows = store.saved(rows.withColumn("host", host).withColumn("row", F.monotonically_increasing_id()), "page-blocks")
+    rows = store.saved(rows.withColumn("host", host).withColumn("page", F.xxhash64("blocks"))
+                       .withColumn("row", F.monotonically_increasing_id()), "page-blocks")
 
     text = F.transform("blocks", lambda b: b["text"])
     hashes = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["under"])))
-    pages_of = rows.groupBy("host").agg(F.count("*").alias("pages"))
-    seen = rows.select("row", "host", F.explode(hashes).alias("hash"))
-    templates = (seen.groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
+    # Copies of a page are no evidence of a template, so different pages are counted.
+    pages_of = rows.where(F.size("blocks") > 0).groupBy("host").agg(F.countDistinct("page").alias("pages"))
+    seen = rows.select("row", "host", "page", F.explode(hashes).alias("hash"))
+    templates = (seen.select("host", "hash", "page").distinct().groupBy("host", "hash").agg(F.count("*").alias("n"))
+                 .where(F.col("n") >= least_pages)
                  .join(pages_of, "host").where(F.col("n") >= share * F.col("pages")).select("host", "hash"))
     # Only pages that hold a template; most pages have none left inside their main part.
     # Written first, so that Spark knows its size and need not shuffle the texts where it is small.
