@@ -5,7 +5,7 @@ k-gram hashes of its sliding windows, kept in an inverted index (fingerprint ->
 place).  A text's fingerprints that are in the index give hits; hits of one template near one diagonal are
 one candidate place, and a banded alignment of the template with the words around it gives the
 matched template words.  A candidate with at least ``LEAST_COVERAGE`` of the template's words is
-reported with its span; of overlapping reports the one with more matched words stays.
+reported with its span; of overlapping reports the one with most matched less missing template words stays.
 
 Templates are a bounded table that every task holds; texts are worked on where they are read.
 
@@ -31,7 +31,30 @@ GRAM, WINDOW = 3, 2              # every match of GRAM + WINDOW - 1 words or mor
 LEAST_COVERAGE = 0.8
 BAND = 6                         # diagonals on each side, besides a tenth of the template
 
-# Public license notices and the usual one-line references to them.
+# Whole public license notices, their opening parts, and the usual one-line references to them.
+_DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING,
+    BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL
+    THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES
+    (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION)
+    HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE)
+    ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_ISC_DISCLAIMER = """THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL
+    IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR
+    CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT,
+    NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+
+
+def _gnu(kind: str, what: str, version: str) -> str:
+    """The notice of a GNU license in a source file."""
+    address = ("If not, see <https://www.gnu.org/licenses/>." if version == "3" else
+               "if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA.")
+    return f"""This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} Public License as
+        published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version. This {what}
+        is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or
+        FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind} Public License for more details. You should have received a copy of the GNU {kind}
+        Public License along with this {what}. {address}"""
+
+
 TEMPLATES = {
     "apache-2.0-header": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except
         in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
@@ -39,22 +62,22 @@ TEMPLATES = {
         "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the
         specific language governing permissions and limitations under the License.""",
     "apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
-    "bsd-2-clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that
+    "bsd-2-clause-conditions": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that
         the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of
         conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this
         list of conditions and the following disclaimer in the documentation and/or other materials provided with the
         distribution.""",
     "cc-by-line": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "cc-by-nc-line": "Licensed under CC BY-NC 4.0.",
-    "gpl-3.0-header": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General
+    "gpl-3.0-header-opening": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General
         Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any
         later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
         implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more
         details.""",
     "gpl-3.0-line": "This work is licensed under the GNU General Public License, version 3.",
-    "isc": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+    "isc-grant": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
         granted, provided that the above copyright notice and this permission notice appear in all copies.""",
-    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+    "mit-grant": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
         documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
         rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
         persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and
@@ -62,7 +85,52 @@ TEMPLATES = {
     "mit-line": "Released under the MIT License.",
     "mpl-2.0-header": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL
         was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
-    "unlicense": "This is free and unencumbered software released into the public domain.",
+    "unlicense-line": "This is free and unencumbered software released into the public domain.",
+    "0bsd": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. "
+            + _ISC_DISCLAIMER,
+    "agpl-3.0-header": _gnu("Affero General", "program", "3"),
+    "gpl-2.0-header": _gnu("General", "program", "2"),
+    "gpl-3.0-header": _gnu("General", "program", "3"),
+    "lgpl-2.1-header": _gnu("Lesser General", "library", "2.1"),
+    "lgpl-3.0-header": _gnu("Lesser General", "program", "3"),
+    "agpl-3.0-line": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "gpl-2.0-line": "This work is licensed under the GNU General Public License, version 2.",
+    "lgpl-2.1-line": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "lgpl-3.0-line": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "bsd-line": "Released under the BSD License.",
+    "isc-line": "Released under the ISC License.",
+    "cc-by-short-line": "Licensed under CC BY 4.0.",
+    "cc-by-sa-short-line": "Licensed under CC BY-SA 4.0.",
+    "cc-by-nd-short-line": "Licensed under CC BY-ND 4.0.",
+    "cc-by-nc-sa-short-line": "Licensed under CC BY-NC-SA 4.0.",
+    "cc-by-nc-nd-short-line": "Licensed under CC BY-NC-ND 4.0.",
+    "cc-by-sa-line": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "cc-by-nd-line": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "cc-by-nc-long-line": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "cc-by-nc-sa-line": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "cc-by-nc-nd-line": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    "cc0-1.0-notice": """To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this
+        software to the public domain worldwide. This software is distributed without any warranty. You should have received a copy of the
+        CC0 Public Domain Dedication along with this software. If not, see <http://creativecommons.org/publicdomain/zero/1.0/>.""",
+}
+TEMPLATES |= {
+    "bsd-2-clause": f"{TEMPLATES['bsd-2-clause-conditions']} {_DISCLAIMER}",
+    "bsd-3-clause": f"""{TEMPLATES['bsd-2-clause-conditions']} 3. Neither the name of the copyright holder nor the names of its contributors may
+        be used to endorse or promote products derived from this software without specific prior written permission. {_DISCLAIMER}""",
+    "isc": f"{TEMPLATES['isc-grant']} {_ISC_DISCLAIMER}",
+    "mit": TEMPLATES["mit-grant"] + """ THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT
+        LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
+        COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING
+        FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "unlicense": TEMPLATES["unlicense-line"] + """ Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software,
+        either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions
+        that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the
+        public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We
+        intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under
+        copyright law. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+        WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY
+        CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE
+        SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE. For more information, please refer to <https://unlicense.org>""",
 }
 
 MATCHES = "array<struct<license: string, coverage: double, start: long, end: long>>"
@@ -159,7 +227,7 @@ def _matches(index: Index, h: np.ndarray, hits: list[tuple[int, int]]) -> list[t
             if len(pairs) >= LEAST_COVERAGE * len(template):
                 found.append((len(pairs), -t, pairs[0][1], pairs[-1][1]))
             k = z + 1
-    found.sort(key=lambda x: (-x[0], -x[1], x[2]))
+    found.sort(key=lambda x: (len(index.words[-x[1]]) - 2 * x[0], -x[1], x[2]))
     out: list[tuple[int, float, int, int]] = []
     for n, t, a, z in found:
         if all(z < b or a > e for _, _, b, e in out):
