@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.llm import bpe, gam, html_text, jaccard, licenses, line_quality, mixing, pii, secret_scan, topk
+from larkspur.llm import bpe, gam, html_text, jaccard, licenses, line_quality, mixing, pii, resampling, secret_scan, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -117,3 +117,9 @@ select query_id, rank::int as rank, vec_id, score from (
   select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from pairs)
 where rank <= 5
 """
+
+
+@query
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and draw of every document toward the benchmark texts."""
+    return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
