@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from larkspur.llm import bpe, gam, html_text, jaccard, licenses, line_quality, mixing, pii, resampling, secret_scan, topk
+from larkspur.llm import bpe, gam, html_text, jaccard, licenses, line_quality, mixing, pii, resampling, rotated_codes, secret_scan, topk, zone_blocks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -123,3 +124,40 @@ where rank <= 5
 def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weight, score and draw of every document toward the benchmark texts."""
     return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every 20th vector, by one-bit codes and reranking."""
+    return rotated_codes.neighbours(_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_zone_block_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 100th vector: different labels, scores within 80 to 100 % of each positive's."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), "embedding")
+    return zone_blocks.mine(zone_blocks.Candidates(rows))
+
+
+ORACLES["op13_zone_block_negatives"] = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         [floor(256 * x::double) for x in embedding] as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len([1 for x in embedding if x is null or not isfinite(x)]) = 0),
+pairs as (
+  select a.vec_id as anchor_id, c.vec_id, c.label = a.label as same, list_inner_product(a.v, c.v)::bigint as score
+  from v a join v c on c.vec_id <> a.vec_id where a.vec_id % 100 = 0),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from (
+    select *, row_number() over (partition by anchor_id order by score desc, vec_id) as place from pairs where same)
+  where place <= 5),
+negatives as (
+  select p.*, n.vec_id as negative_id, n.score as negative_score,
+         row_number() over (partition by p.anchor_id, positive_id order by n.score desc, n.vec_id)::int as rank
+  from positives p join pairs n on n.anchor_id = p.anchor_id and not n.same
+    and 80 * positive_score <= 100 * n.score and n.score <= positive_score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from negatives where rank <= 5
+"""
