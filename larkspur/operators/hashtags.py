@@ -54,25 +54,35 @@ def explode_hashtags_created(records: DataFrame, keep: tuple[str, ...] = ("parti
 
 
 def with_quality_metrics(records: DataFrame, name: str = "status_quality"):
-    """Attach ``observe()`` metrics: records, unparseable statuses, statuses without hashtags.
+    """Decode statuses and attach ``observe()`` metrics: records, unparseable statuses, statuses without hashtags.
 
-    Returns (frame, Observation); the metrics are filled by the first action
-    on the returned frame, at no extra pass over the data.
+    Returns (decoded frame, Observation); the metrics are filled by the first action
+    on the returned frame, at no extra pass over the data and from the same parse that
+    ``decoded_hourly_counts`` counts.
     """
     from pyspark.sql import Observation
     obs = Observation(name)
-    st = statuses.parse_status(F.col("value").cast("string"))
-    # Malformed JSON parses to a struct of NULL fields: "unparseable" = no status field recognised.
-    unparseable = F.lit(True)
-    for f in statuses.STATUS.fields:
-        unparseable = unparseable & st[f.name].isNull()
-    n_tags = F.coalesce(F.size(statuses.hashtag_texts(st)), F.lit(-1))
-    observed = records.observe(
+    st = statuses.decoded(records)
+    unparseable = F.col("st_reason") == statuses.MALFORMED
+    n_tags = F.coalesce(F.size("st_tags"), F.lit(-1))
+    return st.observe(
         obs,
         F.count(F.lit(1)).alias("records"),
-        F.count(F.when(st.isNull() | unparseable, 1)).alias("unparseable"),
-        F.count(F.when(st.isNotNull() & ~unparseable & (n_tags <= 0), 1)).alias("without_hashtags"))
-    return observed, obs
+        F.count(F.when(unparseable, 1)).alias("unparseable"),
+        F.count(F.when(~unparseable & (n_tags <= 0), 1)).alias("without_hashtags")), obs
+
+
+def decoded_hourly_counts(decoded: DataFrame) -> DataFrame:
+    """(date, hour, hashtag) -> cnt of decoded statuses, dated by the record timestamp; no second parse."""
+    ts = F.col("timestamp").cast("long")
+    tags = (decoded.select(timefmt.epoch_date(ts).alias("date"), timefmt.epoch_hour(ts).alias("hour"), F.explode("st_tags").alias("hashtag"))
+            .where(F.col("hashtag").isNotNull()))
+    return hourly_counts(tags)
+
+
+def reasons(records: DataFrame) -> DataFrame:
+    """(reason, n): how many records count, and how many do not for each reason."""
+    return statuses.decoded(records).groupBy(F.col("st_reason").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def hourly_counts(tags: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from larkspur.functions import codec
 from larkspur.operators import hashtags
-from larkspur.plans import archive
+from larkspur.plans import archive, delta_log
 from larkspur.plans.sqlfix import STATUS_TAGS
 from larkspur.registry import register
 from larkspur.session import scratch_path
@@ -135,12 +135,25 @@ def topic_bounded_read(spark, sf_dir):
   CAST(count(*) FILTER (event_id % 50 <> 7 AND (event_type = 'error' OR event_id % 50 IN (13, 17))) AS BIGINT) AS without_hashtags
 FROM events""")
 def hashtag_quality(spark, sf_dir):
-    """Counters of the records that the batch job drops, gathered while it fills the archive."""
-    rec, metrics = hashtags.with_quality_metrics(records(spark, sf_dir), "hashtag_batch")
-    archive.upsert(spark, hashtags.batch_hourly_counts(rec), scratch_path(spark, "hashtag-archive"), batch_id="all")
+    """Counters of the records that the batch job drops, gathered while it appends its counts to the log, from one parse."""
+    decoded, metrics = hashtags.with_quality_metrics(records(spark, sf_dir), "hashtag_batch")
+    delta_log.DeltaLog(spark, scratch_path(spark, "hashtag-log")).append(hashtags.decoded_hourly_counts(decoded), "batch", 0)
     return spark.createDataFrame([metrics.get], "records long, unparseable long, without_hashtags long")
 
 
+@register("status_reasons", """SELECT CASE WHEN event_id % 50 = 7 THEN 'malformed' WHEN "offset" % 89 = 3 THEN 'undated'
+  WHEN "offset" % 97 = 5 THEN 'future' WHEN event_type = 'error' OR event_id % 50 IN (13, 17) THEN 'untagged' ELSE 'counted' END AS reason,
+  count(*) AS n
+FROM (SELECT *, event_id // 3 AS "offset" FROM events) GROUP BY 1""")
+def status_reasons(spark, sf_dir):
+    """Why records do not count, over a topic with some blanked dates and some records stamped two hours before their status."""
+    rec = records(spark, sf_dir)
+    undated, early = F.col("offset") % 89 == 3, F.col("offset") % 97 == 5
+    blanked = F.regexp_replace("value", '"created_at":"[^"]*"', '"created_at":"some day"')
+    return hashtags.reasons(rec.withColumns({"value": F.when(undated, blanked).otherwise(F.col("value")),
+                                             "timestamp": F.when(early, F.col("timestamp") - 7200).otherwise(F.col("timestamp"))}))
+
+
 @register("keyword_track_filter", """SELECT doc_id, count(*) AS n_hits FROM (
   SELECT doc_id, unnest(regexp_split_to_array(lower(text), '\\W+')) AS t FROM documents)
 WHERE t IN ('big', 'data', 'ai', 'machine', 'learning', 'course')

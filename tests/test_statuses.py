@@ -75,11 +75,29 @@ def test_keyword_hits_whole_tokens_case_insensitive(spark):
 
 def test_quality_metrics_observed_in_the_same_pass(spark):
     values = [status(["a"]), status([]), "{broken", status(drop=("entities",))]
-    observed, obs = hashtags.with_quality_metrics(recs(spark, values))
-    assert hashtags.batch_hourly_counts(observed).count() == 1
+    decoded, obs = hashtags.with_quality_metrics(recs(spark, values))
+    counts = hashtags.decoded_hourly_counts(decoded)
+    assert counts._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
+    assert [r.hashtag for r in counts.collect()] == ["a"]
     assert obs.get == {"records": 4, "unparseable": 1, "without_hashtags": 2}
 
 
+def test_reasons_not_to_count(spark):
+    from larkspur.functions import statuses
+    late = json.dumps({"created_at": "Fri Jan 01 00:00:00 +0000 2100", "entities": {"hashtags": [{"text": "a"}]}})
+    values = [status(["a"]), status([None]), status([]), status(drop=("entities",)), status(drop=("created_at",)), late,
+              "{broken", "[1]", '"text"', "", None, "{}", json.dumps({"created_at": 5, "entities": "x"})]
+    frame = recs(spark, values)
+    got = {r["offset"]: (r["st_reason"], r["st_tags"]) for r in statuses.decoded(frame).collect()}
+    assert [got[i][0] for i in range(len(values))] == [
+        "counted", "counted", "untagged", "untagged", "undated", "future", *["malformed"] * 6, "undated"]
+    assert got[0][1] == ["a"] and got[1][1] == [None] and got[2][1] == []
+    plan = hashtags.reasons(frame)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 1
+    assert {r["reason"]: r["n"] for r in hashtags.reasons(frame).collect()} == {
+        "counted": 2, "untagged": 2, "undated": 2, "future": 1, "malformed": 6}
+
+
 def test_records_csv_scan(spark, tmp_path):
     from larkspur.sources import delimited
     p = tmp_path / "batch.txt"
