@@ -31,4 +31,5 @@ def load_all() -> None:
     from larkspur.plans import queries_hashtags  # noqa: F401
     from larkspur.plans import queries_bids  # noqa: F401
     from larkspur.plans import queries_bookings  # noqa: F401
+    from larkspur.plans import queries_incremental  # noqa: F401
     from larkspur.streaming import queries_stream  # noqa: F401
