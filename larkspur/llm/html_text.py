@@ -1,15 +1,19 @@
 """Main text of web pages, with site templates found by counting element subtrees per host.
 
-Each page is parsed once.  Elements that are never article text (menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles, comments) go by tag, role, class or id.  The main part
-is the largest ``article``, else ``main``, else the body.  Every other element subtree gets a
-hash of its tags and text; Spark counts in how many different pages of its host (by a digest of their
-blocks, so copies of a page count once) each hash occurs, and subtrees on at least ``TEMPLATE_PAGES`` pages and ``TEMPLATE_SHARE`` of the host's
-pages are deleted.  Inside an explicit main part only containers can be templates: a paragraph, heading or
-list item there is the article's own, however often the site repeats it.
+Each page is parsed once.  Every element subtree of its body, before any rule by tag or class, gets a
+hash of its tags and text; Spark counts in how many different pages of its host (by a digest of their main text, so
+copies of a page count once) each hash occurs, and subtrees on at least ``TEMPLATE_PAGES`` pages and ``TEMPLATE_SHARE`` of the host's
+pages are deleted: menus, headers, footers, sidebars and notices that a site puts on its pages, whatever they are called.
+
+Rules by tag, role, class and id then remove what templates cannot know: such elements on a host with few pages, and
+those that differ from page to page, like comments and lists of related pages.  The main part is what is left inside the
+articles of the page, or inside ``main`` where articles hold less than half of its text, or else the whole body.  Inside an
+explicit main part only containers can be templates: a paragraph, heading or
+list item there is the article's own, however often the site repeats it; the main part itself and what is around it is none.
 
 Text blocks are the runs of text between block-level tags, in page order: character references decoded, white
-space collapsed, joined by an empty line.
+space collapsed, joined by an empty line.  ``n_template_blocks`` counts the blocks that went as parts of
+templates, ``n_rule_blocks`` the others outside the main text.
 
 Defined cases: a null or empty page has empty text; broken, unclosed or truncated markup is read like a
 browser does in outline (a block tag ends an open paragraph, an end tag without start is ignored);
@@ -53,7 +57,8 @@ ENDS_P = frozenset("""address article aside blockquote center details div dl fie
 CLOSED_BY_SAME = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"),
                   "th": ("tr", "table"), "option": ("select",)}
 
-Block = tuple[str, tuple[int, ...]]
+Block = tuple[str, bool, tuple[int, ...]]
+SALTS = 16                       # a template of a hot host meets its pages in so many groups
 
 
 class Node:
@@ -87,8 +92,8 @@ def _noise(tag: str, attributes: str, in_main: bool) -> bool:
     return False
 
 
-def parse(page: str) -> tuple[Node, list[Node]]:
-    """The tree of a page and its candidates for the main part."""
+def parse(page: str, rules: bool = True) -> tuple[Node, list[Node]]:
+    """The tree of a page and its candidates for the main part; without ``rules`` no element is dropped."""
     root = Node("#root", None, False, 0)
     mains: list[Node] = []
     node, at, raw_end = root, 0, None
@@ -122,7 +127,7 @@ def parse(page: str) -> tuple[Node, list[Node]]:
                     up = up.parent
                 if up.tag == tag:
                     node = up.parent
-            child = Node(tag, node, node.dropped or _noise(tag, attributes, node.main > 0), node.main)
+            child = Node(tag, node, node.dropped or rules and _noise(tag, attributes, node.main > 0), node.main)
             node.parts.append(child)
             if tag in VOID or attributes.endswith("/") and tag not in INLINE and tag not in ENDS_P:
                 continue
@@ -150,32 +155,64 @@ def _measure(root: Node) -> None:
             n.size = sum(c.size if isinstance(c, Node) else len(c.strip()) for c in n.parts)
 
 
-def blocks(page: str) -> list[Block]:
-    """(text, hashes of the subtrees around it that a template may be) of each block of the main part."""
-    root, mains = parse(page)
+def _main_parts(root: Node, mains: list[Node]) -> list[Node]:
+    """The elements whose text is the page's: its outermost articles, or ``main``; none if it has neither."""
+    held = [n for n in mains if n.size]
+    inside: set[int] = set()                                # of an article or main further out
+    for n in held:
+        up = n.parent
+        while up is not None:
+            if any(up is m for m in held) and up.tag == n.tag:
+                inside.add(id(n))
+                break
+            up = up.parent
+    outer = [n for n in held if id(n) not in inside]
+    articles, others = [n for n in outer if n.tag == "article"], [n for n in outer if n.tag != "article"]
+    if not others:
+        return articles
+    largest = max(others, key=lambda n: n.size)
+
+    def below(n: Node) -> bool:
+        while n is not None and n is not largest:
+            n = n.parent
+        return n is largest
+    return articles if 2 * sum(n.size for n in articles if below(n)) >= largest.size else [largest]
+
+
+def blocks(page: str, rules: bool = True) -> list[Block]:
+    """(text, whether of the main part, hashes of the subtrees around it that a template may be) of each block of the page."""
+    root, mains = parse(page, rules)
     _measure(root)
-    explicit = [n for n in mains if n.size and n.tag == "article"] or [n for n in mains if n.size]
-    top = max(explicit, key=lambda n: n.size) if explicit else root
-    out: list[tuple[str, list[Node]]] = []
+    tops = _main_parts(root, mains)
+    around = set()                                          # the main parts and all that holds them
+    for n in tops:
+        while n is not None:
+            around.add(id(n))
+            n = n.parent
+    explicit = {id(n) for n in tops}
+    out: list[tuple[str, bool, list[Node]]] = []
     texts: dict[int, list[str]] = {}                        # what each open subtree has held so far
     text: list[str] = []
     path: list[Node] = []
+    within = [0, 0]                                         # open main parts, and open dropped elements
 
     def flush() -> None:
         s = " ".join(html.unescape("".join(text)).split())
         text.clear()
         if s:
-            out.append((s, list(path)))
+            out.append((s, not within[1] and (within[0] > 0 or not explicit), list(path)))
             for n in path:
                 texts[id(n)].append(s)
 
-    stack: list = [(top, 0)]
+    stack: list = [(root, 0, False)]
     while stack:
-        n, i = stack.pop()
-        if i == 0 and n is not top and n.tag not in INLINE:
+        n, i, gone = stack.pop()
+        if i == 0 and n is not root and n.tag not in INLINE:
             flush()
             path.append(n)
             texts[id(n)] = [n.tag]
+            within[0] += id(n) in explicit
+            within[1] += gone
         while i < len(n.parts):
             c = n.parts[i]
             i += 1
@@ -183,57 +220,77 @@ def blocks(page: str) -> list[Block]:
                 text.append(c)
             elif c.tag == "br" or c.tag == "wbr":
                 text.append(" " if c.tag == "br" else "")
-            elif not c.dropped and (c.tag != "header" or c.main):
-                stack += [(n, i), (c, 0)]
+            elif c.tag in RAW or c.tag == "head":
+                if c.tag not in INLINE:
+                    flush()
+            else:
+                dropped = c.dropped or rules and c.tag == "header" and not c.main
+                if c.tag in INLINE and dropped:
+                    continue
+                # Only the outermost of nested dropped elements counts.
+                stack += [(n, i, gone), (c, 0, dropped and c.tag not in INLINE)]
                 break
-            elif c.tag not in INLINE:
-                flush()
         else:
-            if n.tag not in INLINE or n is top:
+            if n.tag not in INLINE or n is root:
                 flush()
-                if n is not top:
+                if n is not root:
+                    within[0] -= id(n) in explicit
+                    within[1] -= gone
                     path.pop()
                     for up in path:
                         texts[id(up)].append("/" + n.tag)
-    open_parts = not explicit
     hashes = {k: int.from_bytes(hashlib.blake2b("\n".join(v).encode(errors="replace"), digest_size=8).digest(), "big", signed=True)
               for k, v in texts.items() if len(v) > 1}
-    return [(s, tuple(hashes[id(n)] for n in p if open_parts and n.tag not in ("html", "body") or not open_parts and n.tag not in PROSE))
-            for s, p in out]
 
+    def may_be(n: Node, main: bool) -> bool:
+        if id(n) in around or n.tag in ("html", "body"):
+            return False
+        return not (main and explicit) or n.tag not in PROSE
+    return [(s if main else "", main, tuple(hashes[id(n)] for n in p if may_be(n, main))) for s, main, p in out]
+
+
+def _task(rules: bool):
+    kind = pa.list_(pa.struct([("text", pa.string()), ("main", pa.bool_()), ("under", pa.list_(pa.int64()))]))
 
-def _task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("text", pa.string()), ("under", pa.list_(pa.int64()))]))
-    for batch in batches:
-        found = [[{"text": t.encode("utf-8", "replace").decode(), "under": list(u)} for t, u in blocks(h or "")]
-                 for h in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, kind)],
-                                         names=["page_id", "url", "blocks"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [[{"text": t.encode("utf-8", "replace").decode(), "main": m, "under": list(u)} for t, m, u in blocks(h or "", rules)]
+                     for h in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, kind)],
+                                             names=["page_id", "url", "blocks"])
+    return run
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-            least_pages: int = TEMPLATE_PAGES, share: float = TEMPLATE_SHARE) -> DataFrame:
-    """Per row of ``pages``: page_id, url, text, n_chars."""
+            least_pages: int = TEMPLATE_PAGES, share: float = TEMPLATE_SHARE, rules: bool = True) -> DataFrame:
+    """Per row of ``pages``: page_id, url, text, n_chars, n_template_blocks, n_rule_blocks; without ``rules`` templates alone remove text."""
     store.small_batches(pages.sparkSession)
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1))
     rows = (pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-            .mapInArrow(_task, "page_id long, url string, blocks array<struct<text string, under array<long>>>"))
-    rows = store.saved(rows.withColumn("host", host).withColumn("page", F.xxhash64("blocks"))
+            .mapInArrow(_task(rules), "page_id long, url string, blocks array<struct<text string, main boolean, under array<long>>>"))
+    main_texts = F.transform(F.filter("blocks", lambda b: b["main"]), lambda b: b["text"])
+    rows = store.saved(rows.withColumn("host", F.xxhash64(host)).withColumn("page", F.xxhash64(main_texts))
                        .withColumn("row", F.monotonically_increasing_id()), "page-blocks")
 
-    text = F.transform("blocks", lambda b: b["text"])
+    # A subtree of a host: one number, salted into groups for its join with the pages.
     hashes = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["under"])))
+    subtrees = rows.select("row", "host", "page", F.transform(hashes, lambda h: F.xxhash64("host", h)).alias("trees"))
     # Copies of a page are no evidence of a template, so different pages are counted.
     pages_of = rows.where(F.size("blocks") > 0).groupBy("host").agg(F.countDistinct("page").alias("pages"))
-    seen = rows.select("row", "host", "page", F.explode(hashes).alias("hash"))
-    templates = (seen.select("host", "hash", "page").distinct().groupBy("host", "hash").agg(F.count("*").alias("n"))
-                 .where(F.col("n") >= least_pages)
-                 .join(pages_of, "host").where(F.col("n") >= share * F.col("pages")).select("host", "hash"))
-    # Only pages that hold a template; most pages have none left inside their main part.
-    # Written first, so that Spark knows its size and need not shuffle the texts where it is small.
-    cut = store.saved(seen.join(templates, ["host", "hash"]).groupBy("row").agg(F.collect_set("hash").alias("templates")),
+    first = rows.where(F.size("blocks") > 0).groupBy("host", "page").agg(F.min("row").alias("row"))
+    templates = (subtrees.join(first.select("row"), "row", "left_semi").select("host", F.explode("trees").alias("tree"))
+                 .groupBy("tree").agg(F.count("*").alias("n"), F.first("host").alias("host")).where(F.col("n") >= least_pages)
+                 .join(pages_of, "host").where(F.col("n") >= share * F.col("pages")).select("tree"))
+    templates = store.saved(templates, "templates").withColumn("salt", F.explode(F.expr(f"sequence(0, {SALTS - 1})")))
+    # Only pages that hold a template; written first, so that Spark knows its size and need not shuffle the texts where it is small.
+    seen = subtrees.select("row", F.explode("trees").alias("tree")).withColumn("salt", F.pmod("row", F.lit(SALTS)).cast("int"))
+    cut = store.saved(seen.join(templates, ["tree", "salt"]).groupBy("row").agg(F.collect_set("tree").alias("templates")),
                       "page-templates")
-    kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["under"], F.coalesce("templates", F.array().cast("array<long>"))))
-    rows = rows.join(cut, "row", "left").withColumn("blocks", kept)
-    return (rows.select("page_id", "url", F.array_join(text, "\n\n").alias("text"))
-            .withColumn("n_chars", F.length("text").cast("long")))
+    of_template = lambda b: F.arrays_overlap(F.transform(b["under"], lambda h: F.xxhash64("host", h)),
+                                             F.coalesce("templates", F.array().cast("array<long>")))
+    rows = rows.join(cut, "row", "left").withColumn("kept", F.filter("blocks", lambda b: ~of_template(b)))
+    text = F.array_join(F.transform(F.filter("kept", lambda b: b["main"]), lambda b: b["text"]), "\n\n")
+    return (rows.select("page_id", "url", text.alias("text"), (F.size("blocks") - F.size("kept")).cast("long").alias("n_template_blocks"),
+                        F.size(F.filter("kept", lambda b: ~b["main"])).cast("long").alias("n_rule_blocks"))
+            .withColumn("n_chars", F.length("text").cast("long"))
+            .select("page_id", "url", "text", "n_chars", "n_template_blocks", "n_rule_blocks"))
