@@ -4,18 +4,22 @@ Words are runs of letters and digits, compared without case.  A template's finge
 k-gram hashes of its sliding windows, kept in an inverted index (fingerprint -> template and
 place).  A text's fingerprints that are in the index give hits; hits of one template near one diagonal are
 one candidate place, and a banded alignment of the template with the words around it gives the
-matched template words.  A candidate with at least ``LEAST_COVERAGE`` of the template's words is
-reported with its span; of overlapping reports the one with most matched less missing template words stays.
+matched template words.  A candidate with at least ``LEAST_COVERAGE`` of the template's words, that are
+``LEAST_DENSITY`` of the words they span, is reported with its span; of overlapping reports the one with most matched less missing template words stays.
+
+The words that tell one license from another, its name and version, stand in braces in a template.  Each such phrase
+must be in the matched span, word by word: a share of matched words cannot tell "the MIT License" from "the Sony license".
 
 Templates are a bounded table that every task holds; texts are worked on where they are read.
 
 Defined cases: a null or empty text has no match; positions are code points, end exclusive; ties between overlapping
-matches go to the earlier name; repeated passages are all reported; ids may repeat or be null; extra
+matches of one length go to the earlier name; repeated passages are all reported; ids may repeat or be null; extra
 columns stay out; no rows give no rows.
 """
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -29,8 +33,10 @@ from larkspur.llm.words import Hasher, alphanumeric, byte_values, mix, runs
 
 GRAM, WINDOW = 3, 2              # every match of GRAM + WINDOW - 1 words or more has a common fingerprint
 LEAST_COVERAGE = 0.8
+LEAST_DENSITY = 0.6              # of the words in a match's span, how many are the template's
 BAND = 6                         # diagonals on each side, besides a tenth of the template
 
+# In braces: phrases that a match must hold.
 # Whole public license notices, their opening parts, and the usual one-line references to them.
 _DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING,
     BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL
@@ -48,33 +54,33 @@ def _gnu(kind: str, what: str, version: str) -> str:
     """The notice of a GNU license in a source file."""
     address = ("If not, see <https://www.gnu.org/licenses/>." if version == "3" else
                "if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA.")
-    return f"""This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} Public License as
-        published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version. This {what}
+    return f"""This {what} is free software: you can redistribute it and/or modify it under the terms of the {{GNU {kind} Public License}} as
+        published by the Free Software Foundation, either {{version {version}}} of the License, or (at your option) any later version. This {what}
         is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or
         FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind} Public License for more details. You should have received a copy of the GNU {kind}
         Public License along with this {what}. {address}"""
 
 
 TEMPLATES = {
-    "apache-2.0-header": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except
+    "apache-2.0-header": """Licensed under the {Apache License, Version 2.0} (the "License"); you may not use this file except
         in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
         Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an
         "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the
         specific language governing permissions and limitations under the License.""",
-    "apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
+    "apache-2.0-line": "Licensed under the {Apache License, Version 2.0}.",
     "bsd-2-clause-conditions": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that
         the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of
         conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this
         list of conditions and the following disclaimer in the documentation and/or other materials provided with the
         distribution.""",
-    "cc-by-line": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "cc-by-nc-line": "Licensed under CC BY-NC 4.0.",
-    "gpl-3.0-header-opening": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General
-        Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any
+    "cc-by-line": "This work is licensed under a {Creative Commons Attribution 4.0} International License.",
+    "cc-by-nc-line": "Licensed under {CC BY-NC 4.0}.",
+    "gpl-3.0-header-opening": """This program is free software: you can redistribute it and/or modify it under the terms of the {GNU General
+        Public License} as published by the Free Software Foundation, either {version 3} of the License, or (at your option) any
         later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
         implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more
         details.""",
-    "gpl-3.0-line": "This work is licensed under the GNU General Public License, version 3.",
+    "gpl-3.0-line": "This work is licensed under the {GNU General Public License, version 3}.",
     "isc-grant": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
         granted, provided that the above copyright notice and this permission notice appear in all copies.""",
     "mit-grant": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
@@ -82,10 +88,10 @@ TEMPLATES = {
         rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
         persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and
         this permission notice shall be included in all copies or substantial portions of the Software.""",
-    "mit-line": "Released under the MIT License.",
-    "mpl-2.0-header": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL
+    "mit-line": "Released under the {MIT License}.",
+    "mpl-2.0-header": """This Source Code Form is subject to the terms of the {Mozilla Public License, v. 2.0}. If a copy of the MPL
         was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
-    "unlicense-line": "This is free and unencumbered software released into the public domain.",
+    "unlicense-line": "This is {free and unencumbered software} released into the public domain.",
     "0bsd": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. "
             + _ISC_DISCLAIMER,
     "agpl-3.0-header": _gnu("Affero General", "program", "3"),
@@ -93,25 +99,25 @@ TEMPLATES = {
     "gpl-3.0-header": _gnu("General", "program", "3"),
     "lgpl-2.1-header": _gnu("Lesser General", "library", "2.1"),
     "lgpl-3.0-header": _gnu("Lesser General", "program", "3"),
-    "agpl-3.0-line": "This work is licensed under the GNU Affero General Public License, version 3.",
-    "gpl-2.0-line": "This work is licensed under the GNU General Public License, version 2.",
-    "lgpl-2.1-line": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
-    "lgpl-3.0-line": "This work is licensed under the GNU Lesser General Public License, version 3.",
-    "bsd-line": "Released under the BSD License.",
-    "isc-line": "Released under the ISC License.",
-    "cc-by-short-line": "Licensed under CC BY 4.0.",
-    "cc-by-sa-short-line": "Licensed under CC BY-SA 4.0.",
-    "cc-by-nd-short-line": "Licensed under CC BY-ND 4.0.",
-    "cc-by-nc-sa-short-line": "Licensed under CC BY-NC-SA 4.0.",
-    "cc-by-nc-nd-short-line": "Licensed under CC BY-NC-ND 4.0.",
-    "cc-by-sa-line": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
-    "cc-by-nd-line": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
-    "cc-by-nc-long-line": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
-    "cc-by-nc-sa-line": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
-    "cc-by-nc-nd-line": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    "agpl-3.0-line": "This work is licensed under the {GNU Affero General Public License, version 3}.",
+    "gpl-2.0-line": "This work is licensed under the {GNU General Public License, version 2}.",
+    "lgpl-2.1-line": "This work is licensed under the {GNU Lesser General Public License, version 2.1}.",
+    "lgpl-3.0-line": "This work is licensed under the {GNU Lesser General Public License, version 3}.",
+    "bsd-line": "Released under the {BSD License}.",
+    "isc-line": "Released under the {ISC License}.",
+    "cc-by-short-line": "Licensed under {CC BY 4.0}.",
+    "cc-by-sa-short-line": "Licensed under {CC BY-SA 4.0}.",
+    "cc-by-nd-short-line": "Licensed under {CC BY-ND 4.0}.",
+    "cc-by-nc-sa-short-line": "Licensed under {CC BY-NC-SA 4.0}.",
+    "cc-by-nc-nd-short-line": "Licensed under {CC BY-NC-ND 4.0}.",
+    "cc-by-sa-line": "This work is licensed under a {Creative Commons Attribution-ShareAlike 4.0} International License.",
+    "cc-by-nd-line": "This work is licensed under a {Creative Commons Attribution-NoDerivatives 4.0} International License.",
+    "cc-by-nc-long-line": "This work is licensed under a {Creative Commons Attribution-NonCommercial 4.0} International License.",
+    "cc-by-nc-sa-line": "This work is licensed under a {Creative Commons Attribution-NonCommercial-ShareAlike 4.0} International License.",
+    "cc-by-nc-nd-line": "This work is licensed under a {Creative Commons Attribution-NonCommercial-NoDerivatives 4.0} International License.",
     "cc0-1.0-notice": """To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this
         software to the public domain worldwide. This software is distributed without any warranty. You should have received a copy of the
-        CC0 Public Domain Dedication along with this software. If not, see <http://creativecommons.org/publicdomain/zero/1.0/>.""",
+        {CC0 Public Domain Dedication} along with this software. If not, see <http://creativecommons.org/publicdomain/zero/1.0/>.""",
 }
 TEMPLATES |= {
     "bsd-2-clause": f"{TEMPLATES['bsd-2-clause-conditions']} {_DISCLAIMER}",
@@ -133,6 +139,30 @@ TEMPLATES |= {
         SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE. For more information, please refer to <https://unlicense.org>""",
 }
 
+_FSF = "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed."
+# The openings of the long license texts themselves.
+TEMPLATES |= {
+    "apache-2.0-text-opening": """{Apache License Version 2.0}, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE,
+        REPRODUCTION, AND DISTRIBUTION 1. Definitions. "License" shall mean the terms and conditions for use, reproduction, and distribution
+        as defined by Sections 1 through 9 of this document.""",
+    "gpl-2.0-text-opening": f"""{{GNU GENERAL PUBLIC LICENSE Version 2}}, June 1991 Copyright (C) 1989, 1991 Free Software Foundation, Inc.,
+        51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA {_FSF} Preamble The licenses for most software are designed to take away
+        your freedom to share and change it.""",
+    "gpl-3.0-text-opening": f"""{{GNU GENERAL PUBLIC LICENSE Version 3}}, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc.
+        <https://fsf.org/> {_FSF} Preamble The GNU General Public License is a free, copyleft license for software and other kinds of works.""",
+    "agpl-3.0-text-opening": f"""{{GNU AFFERO GENERAL PUBLIC LICENSE Version 3}}, 19 November 2007 Copyright (C) 2007 Free Software Foundation,
+        Inc. <https://fsf.org/> {_FSF} Preamble The GNU Affero General Public License is a free, copyleft license for software and other kinds
+        of works, specifically designed to ensure cooperation with the community in the case of network server software.""",
+    "lgpl-3.0-text-opening": f"""{{GNU LESSER GENERAL PUBLIC LICENSE Version 3}}, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc.
+        <https://fsf.org/> {_FSF} This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of
+        the GNU General Public License, supplemented by the additional permissions listed below.""",
+    "mpl-2.0-text-opening": """{Mozilla Public License Version 2.0} 1. Definitions 1.1. "Contributor" means each individual or legal entity
+        that creates, contributes to the creation of, or owns Covered Software.""",
+    "cc-by-4.0-text-opening": """{Creative Commons Attribution 4.0 International Public License} By exercising the Licensed Rights (defined
+        below), You accept and agree to be bound by the terms and conditions of this Creative Commons Attribution 4.0 International Public
+        License ("Public License").""",
+}
+
 MATCHES = "array<struct<license: string, coverage: double, start: long, end: long>>"
 
 
@@ -161,22 +191,49 @@ def winnow(h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return g[chosen], at[chosen]
 
 
+def pairs_of(h: np.ndarray) -> np.ndarray:
+    """Hashes of every two words one after the other."""
+    return mix(h[:-1] + np.uint64(GRAM + 1)) * np.uint64(3) + mix(h[1:] + np.uint64(GRAM + 2))
+
+
 class Index:
-    """Templates as word hashes, and the inverted index of their fingerprints."""
+    """Templates as word hashes, and the inverted index of their fingerprints and first phrases."""
 
     def __init__(self, templates: dict[str, str], hasher: Hasher):
         self.names = sorted(templates)
-        self.words, places = [], defaultdict(list)
+        self.words, self.phrases, places = [], [], defaultdict(list)
         for t, name in enumerate(self.names):
-            h, doc, _, _ = hasher.words(pa.array([templates[name]]))
+            h, doc, _, _ = hasher.words(pa.array([plain(templates[name])]))
+            self.phrases.append([hasher.words(pa.array([p]))[0] for p in re.findall(r"\{([^}]*)\}", templates[name])])
             if len(h) < GRAM + WINDOW - 1:
                 raise ValueError(f"template {name!r} has too few words")
             self.words.append(h)
             for f, at in zip(*winnow(h, doc), strict=True):
                 places[int(f)].append((t, int(at)))
+            for phrase in self.phrases[-1][:1]:             # which every match holds, however short or changed around it
+                at = next(i for i in range(len(h)) if (h[i: i + len(phrase)] == phrase).all())
+                places[int(pairs_of(phrase)[0])].append((t, at))
         self.keys = np.array(sorted(places), np.uint64)
         self.places = [places[int(k)] for k in self.keys]
 
+    def fits(self, t: int, words: np.ndarray, pairs: list[tuple[int, int]]) -> bool:
+        """Whether matched words are enough of the template and of their span, and hold its phrases."""
+        if not pairs or len(pairs) < LEAST_COVERAGE * len(self.words[t]):
+            return False
+        span = words[pairs[0][1]: pairs[-1][1] + 1]
+        return len(pairs) >= LEAST_DENSITY * len(span) and all(holds(span, p) for p in self.phrases[t])
+
+
+def plain(template: str) -> str:
+    """A template without its braces."""
+    return template.replace("{", "").replace("}", "")
+
+
+def holds(words: np.ndarray, phrase: np.ndarray) -> bool:
+    """Whether the phrase stands in the words, one after the other."""
+    n = len(words) - len(phrase) + 1
+    return n > 0 and bool(np.all([words[i: i + n] == w for i, w in enumerate(phrase)], axis=0).any())
+
 
 def align(template: np.ndarray, words: np.ndarray, diagonal: int, band: int) -> list[tuple[int, int]]:
     """Matched (template place, text place) pairs of a banded alignment with the most matches.
@@ -207,6 +264,28 @@ def align(template: np.ndarray, words: np.ndarray, diagonal: int, band: int) ->
     return pairs[::-1]
 
 
+def tightest(template: np.ndarray, words: np.ndarray, diagonal: int, band: int) -> list[tuple[int, int]]:
+    """``align``, with the latest first word that gives as many matches before the same last word."""
+    pairs = align(template, words, diagonal, band)
+    if len(pairs) < LEAST_COVERAGE * len(template):
+        return pairs
+    m, last = len(template), pairs[-1][1]
+    back = align(template[::-1], words[last::-1], last - m + 1 - diagonal, band)
+    back = [(m - 1 - i, last - j) for i, j in reversed(back)]
+    return back if len(back) >= len(pairs) else pairs
+
+
+def chosen(index: Index, found: list[tuple[int, int, int, int]]) -> list[tuple[int, float, int, int]]:
+    """Of overlapping matches (words matched, -template, first, last) those of most matched less missing words, then the
+    shortest, then by name and place; as (template, coverage, first, last) in text order."""
+    found = sorted(set(found), key=lambda x: (len(index.words[-x[1]]) - 2 * x[0], x[3] - x[2], -x[1], x[2]))
+    out: list[tuple[int, float, int, int]] = []
+    for n, t, a, z in found:
+        if all(z < b or a > e for _, _, b, e in out):
+            out.append((-t, n / len(index.words[-t]), a, z))
+    return sorted(out, key=lambda x: x[2])
+
+
 def _matches(index: Index, h: np.ndarray, hits: list[tuple[int, int]]) -> list[tuple[int, float, int, int]]:
     """(template, coverage, first word, last word) of a text, from hits (word, index entry)."""
     diagonals: dict[int, list[int]] = defaultdict(list)
@@ -223,16 +302,11 @@ def _matches(index: Index, h: np.ndarray, hits: list[tuple[int, int]]) -> list[t
             z = k
             while z + 1 < len(ds) and ds[z + 1] - ds[k] <= band:
                 z += 1
-            pairs = align(template, h, (ds[k] + ds[z]) // 2, band)
-            if len(pairs) >= LEAST_COVERAGE * len(template):
+            pairs = tightest(template, h, (ds[k] + ds[z]) // 2, band)
+            if index.fits(t, h, pairs):
                 found.append((len(pairs), -t, pairs[0][1], pairs[-1][1]))
             k = z + 1
-    found.sort(key=lambda x: (len(index.words[-x[1]]) - 2 * x[0], -x[1], x[2]))
-    out: list[tuple[int, float, int, int]] = []
-    for n, t, a, z in found:
-        if all(z < b or a > e for _, _, b, e in out):
-            out.append((-t, n / len(index.words[-t]), a, z))
-    return sorted(out, key=lambda x: x[2])
+    return chosen(index, found)
 
 
 def _task(templates: dict[str, str]):
@@ -245,6 +319,8 @@ def _task(templates: dict[str, str]):
             texts = batch.column(1)
             h, doc, start, end = hasher.words(texts)
             f, at = winnow(h, doc)
+            two = np.flatnonzero(doc[1:] == doc[:-1])
+            f, at = np.append(f, pairs_of(h)[two]), np.append(at, two)
             place = np.minimum(np.searchsorted(index.keys, f), len(index.keys) - 1)
             known = index.keys[place] == f
             place, at = place[known], at[known]
