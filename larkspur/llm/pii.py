@@ -1,17 +1,20 @@
 """Personal data replaced by keyed surrogates of the same type and format.
 
 Detected: e-mail addresses; phone numbers with a country code, a leading 0 or the usual separators; card
-numbers of 13 to 19 digits with a valid check digit (four groups of four also without); IPv4 and IPv6 addresses; personal
-names that start with a listed given name, and their surnames wherever they recur in that document.  An entity's surrogate is a keyed format-preserving permutation of
+numbers of 13 to 19 digits with a valid check digit (four groups of four also without); IPv4 and IPv6 addresses; and personal names.
+A name is known by its place, in any script with capitals: a listed given name and the word after it; the words after a title or form of address; a
+line of its own under a closing; the parts of an e-mail address' local part where they stand in the text.  Its words count as
+names wherever they recur in that document.  An entity's surrogate is a keyed format-preserving permutation of
 its canonical value (a Feistel network over the characters' own alphabets), so one entity gets the
 same surrogate everywhere (coreference) and two entities of one format get different ones.  A
-card keeps its first digit and its check-digit offset, a phone its punctuation, leading zeros and country code 1, an address its
+card keeps its first digit and its check-digit offset, a phone its punctuation, country code and leading zeros, an address its
 dots, or its first group and its groups of zeros; a given name becomes one of the same gender and script, a surname one of the same script, both in the same
 letter case; text around an entity stays.
 
 Collision check: the distinct entities of the corpus and their surrogates meet in Spark.  A
 surrogate that is a real entity, its own original, or another entity's surrogate is drawn again with the
-next nonce until none is left; the texts are rewritten with the final nonces.
+next nonce until none is left; the texts are rewritten with the final nonces.  Names made up grow by a syllable
+every ``NONCES_PER_SYLLABLE`` nonces, so that there is room for any number of surnames.
 
 Defined cases: a null text stays null; nothing detected leaves a text as it is; overlapping detections:
 the leftmost, then the longest, wins; rows with null or repeated ids are rewritten alike; an ``n_chars``
@@ -34,7 +37,8 @@ from pyspark.sql import functions as F
 from larkspur.llm import store
 
 KEY = b"surrogate-key-1"          # a default for tests and checks; production passes its own
-MOST_NONCES = 64
+NONCES_PER_SYLLABLE = 4
+NAME_SYLLABLES = 3                # of a made-up surname at first: 10 ** 8 or more names a script
 
 EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
 IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)"
@@ -59,19 +63,43 @@ GIVEN = {
     ("cyrillic", "f"): ("Анна", "Галина", "Екатерина", "Ирина", "Мария", "Наталья", "Ольга", "Светлана"),
     ("cyrillic", "m"): ("Алексей", "Андрей", "Борис", "Виктор", "Дмитрий", "Иван", "Николай", "Сергей"),
 }
+# The parts of made-up surnames: beginnings, vowels and ends of a syllable.
 SYLLABLES = {
-    "latin": ("bar", "ber", "dal", "den", "fal", "gar", "hol", "kan", "lin", "mar", "nor", "pel", "ran", "sel", "tor", "vin"),
-    "cyrillic": ("бар", "вол", "гор", "дан", "зим", "кор", "лев", "мар", "нов", "пет", "ряб", "сор", "тих", "ужа", "хар", "чер"),
+    "latin": (tuple("b d f g h k l m n p r s t v w".split()) + ("br", "gr", "kl", "st", "tr"), tuple("aeiou"), ("", "l", "m", "n", "r", "s")),
+    "cyrillic": (tuple("б в г д ж з к л м н п р с т х".split()) + ("бр", "гр", "кл", "ст", "тр"), tuple("аеиоу"), ("", "л", "м", "н", "р", "с")),
 }
+# Titles and forms of address before a name, and closings above one.
+TITLES = """Mr Mrs Ms Miss Mx Dr Prof Sir Madam Herr Herrn Frau Fräulein Monsieur Madame Mademoiselle Mme Mlle Señor Señora Señorita Sr Sra
+    Don Doña Signor Signora Господин Госпожа""".split()
+ADDRESSES = """Dear Hi Hello Liebe Lieber Hallo Cher Chère Bonjour Estimado Estimada Querido Querida Hola Уважаемый Уважаемая Дорогой
+    Дорогая""".split()
+CLOSINGS = ("Regards", "Best regards", "Kind regards", "Sincerely", "Yours sincerely", "Best wishes", "Mit freundlichen Grüßen", "Viele Grüße",
+            "Cordialement", "Bien cordialement", "Atentamente", "Saludos cordiales", "С уважением")
+# Who is addressed, but not by name.
+NO_NAMES = frozenset("""All Team Customer Customers Colleague Colleagues Friend Friends Everyone Everybody There Sirs Madams User Users Reader
+    Readers Member Members Students Parents Guest Guests Damen Herren Kollegen Kolleginnen Kunde Kunden Freunde Leser Tous Toutes Collègues
+    Amis Clients Todos Amigos Colegas Clientes""".split())
+# Country codes of one digit and of two; all others have three.
+ONE_DIGIT_CODES = "17"
+TWO_DIGIT_CODES = frozenset("""20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84
+    86 90 91 92 93 94 95 98""".split())
 NAMES = {n.lower(): cls for cls, names in GIVEN.items() for n in names}
 _ANY_GIVEN = "|".join(sorted((v for n in NAMES for v in {n.title(), n.upper()}), key=lambda n: (-len(n), n)))
 NAME = rf"\b(?:{_ANY_GIVEN})\b(?:[ \t]+[^\W\d_a-zа-я][^\W\d_]+)?"
+_CAPITAL = r"[^\W\d_a-zа-яёßà-öø-ÿ][^\W\d_]+"                                # a word that starts with a capital
+_WORDS = rf"{_CAPITAL}(?:[ \t]+{_CAPITAL}){{0,2}}"
+# Names by their place; the name is the group.
+TITLED = re.compile(rf"\b(?:{'|'.join(TITLES)})\b\.?[ \t]+({_WORDS})")
+ADDRESSED = re.compile(rf"(?:^|\n)[ \t]*(?:{'|'.join(ADDRESSES)})[ \t]+(?:(?:{'|'.join(TITLES)})\b\.?[ \t]+)?({_WORDS})[ \t]*[,!:]")
+SIGNED = re.compile(rf"(?:^|\n)[ \t]*(?:{'|'.join(CLOSINGS)})[ \t]*,?[ \t]*\n+[ \t]*({_WORDS})[ \t]*(?:\n|$)")
+LOCAL_PARTS = re.compile(r"(?<![A-Za-z0-9._%+-])([A-Za-z]{3,})[._]([A-Za-z]{3,})@")
 KINDS = (("email", EMAIL), ("card", CARD), ("ip", IP), ("phone", PHONE), ("name", NAME))
 ENTITY = re.compile("|".join(f"(?P<{k}>{p})" for k, p in KINDS))
 # Shapes that are entities only if their value is valid; tried before the others at a place.
 CHECKED = re.compile(f"(?P<card>{LONG_CARD})|(?P<ip>{IP6})")
+_CONTEXT = rf"(?:{'|'.join([*TITLES, *ADDRESSES])})\.?[ \t]|(?:{'|'.join(CLOSINGS)})[ \t]*,?[ \t]*\n"
 # Necessary for any detection; checked for whole batches before a text is looked at.
-MAY_HOLD = "@|[0-9][0-9 .()/\u00a0\u202f-]{5,}[0-9]|[0-9A-Fa-f]{0,4}:[0-9A-Fa-f]{0,4}:|" + "|".join(sorted(v for n in NAMES for v in {n.title(), n.upper()}))
+MAY_HOLD = "@|[0-9][0-9 .()/\u00a0\u202f-]{5,}[0-9]|[0-9A-Fa-f]{0,4}:[0-9A-Fa-f]{0,4}:|" + "|".join(sorted(v for n in NAMES for v in {n.title(), n.upper()})) + "|" + _CONTEXT
 
 
 def _script(word: str) -> str:
@@ -81,12 +109,11 @@ def _script(word: str) -> str:
 def canonical(kind: str, surface: str) -> list[tuple[str, str]]:
     """The entities (type, value) in a detection; a full name holds a given name and a surname."""
     if kind == "name":
-        given, *rest = surface.split(None, 1)
-        if given.lower() not in NAMES:                          # a surname that recurs alone
-            return [(f"surname-{_script(given)}", given.lower())]
-        script = NAMES[given.lower()][0]
-        return [("given", given.lower())] + [(f"surname-{script}", r.lower()) for r in rest]
-    if kind in ("card", "phone"):
+        # A word that is no listed given name is replaced like a surname.
+        return [("given", w.lower()) if w.lower() in NAMES else (f"surname-{_script(w)}", w.lower()) for w in surface.split()]
+    if kind == "phone":
+        return [(kind, "+" * surface.startswith("+") + re.sub(r"\D", "", surface))]
+    if kind == "card":
         return [(kind, re.sub(r"\D", "", surface))]
     if kind == "ip" and ":" in surface:
         return [("ip6", ipaddress.IPv6Address(surface).exploded)]
@@ -135,11 +162,24 @@ def _shapes(text: str) -> Iterator[tuple[int, int, str]]:
         b = checked(best[1]) if b[0] < best[1] else b
 
 
+def _named(text: str, found: list[tuple[int, int, str]]) -> set[str]:
+    """The words that are names in this document: of detected names, by their place, and of e-mail addresses."""
+    words = {w for a, z, kind in found if kind == "name" for w in text[a:z].split()[1:]}
+    for pattern in (TITLED, ADDRESSED, SIGNED):
+        for m in pattern.finditer(text):
+            words.update(m.group(1).split())
+    for m in LOCAL_PARTS.finditer(text):
+        first, last = (part.title() for part in m.groups())
+        if f"{first} {last}" in text:
+            words |= {first, last}
+    return {w for w in words if w.lower() not in NAMES and w not in TITLES and w not in NO_NAMES and len(w) > 1}
+
+
 def detect(text: str) -> Iterator[tuple[int, int, str]]:
     found = list(_shapes(text))
-    surnames = {w for a, z, kind in found if kind == "name" for w in text[a:z].split()[1:]}
-    if surnames:
-        forms = sorted({re.escape(f) for w in surnames for f in (w, w.title(), w.upper())}, key=lambda f: (-len(f), f))
+    names = _named(text, found)
+    if names:
+        forms = sorted({re.escape(f) for w in names for f in (w, w.title(), w.upper())}, key=lambda f: (-len(f), f))
         taken, k = list(found), 0
         for m in re.finditer(rf"(?<!\w)(?:{'|'.join(forms)})(?!\w)", text):
             while k < len(taken) and taken[k][1] <= m.start():
@@ -207,11 +247,11 @@ def surrogate(key: bytes, kind: str, value: str, nonce: int = 0) -> str:
         at = next(i for i, n in enumerate(order) if n.lower() == value)
         return order[(at + 1 + nonce % (len(order) - 1)) % len(order)].lower()
     if kind.startswith("surname-"):
-        parts = SYLLABLES[kind.split("-")[1]]
         n, out = _number(key, kind, value, str(nonce)), ""
-        for _ in range(4):
-            n, d = divmod(n, len(parts))
-            out += parts[d]
+        for _ in range(NAME_SYLLABLES + nonce // NONCES_PER_SYLLABLE):
+            for parts in SYLLABLES[kind.split("-")[1]]:
+                n, d = divmod(n, len(parts))
+                out += parts[d]
         return out
     if kind == "ip":
         n = sum(int(p) << s for p, s in zip(value.split("."), (24, 16, 8, 0), strict=True))
@@ -226,7 +266,10 @@ def surrogate(key: bytes, kind: str, value: str, nonce: int = 0) -> str:
         offset = (int(value[-1]) + _luhn(value[:-1])) % 10     # 0 for a valid number; kept
         return body + str((offset - _luhn(body)) % 10)
     if kind == "phone":
-        keep = 1 if len(value) == 11 and value[0] == "1" else len(value) - len(value.lstrip("0"))
+        if value[0] == "+":
+            keep = 2 if value[1] in ONE_DIGIT_CODES else 3 if value[1:3] in TWO_DIGIT_CODES else 4
+        else:
+            keep = 1 if len(value) == 11 and value[0] == "1" else len(value) - len(value.lstrip("0"))
         return value[:keep] + permute(key, kind, value[keep:], nonce)
     name, _, top = value.rpartition(".")                         # e-mail: the last label stays
     return permute(key, kind, name, nonce) + "." + top
@@ -242,10 +285,10 @@ def render(kind: str, surface: str, values: list[str]) -> str:
     """Surrogate values written in the format of the detection."""
     if kind == "name":
         gaps = re.findall(r"\s+", surface)
-        words = [_cased(w, v) for w, v in zip(surface.split(None, 1), values, strict=True)]
+        words = [_cased(w, v) for w, v in zip(surface.split(), values, strict=True)]
         return "".join(w + g for w, g in zip(words, [*gaps, ""], strict=False))
     if kind in ("card", "phone"):
-        digits = iter(values[0])
+        digits = iter(values[0].lstrip("+"))
         return re.sub(r"\d", lambda _: next(digits), surface)
     if kind == "ip" and ":" in surface:
         groups = values[0].split(":")
@@ -295,7 +338,7 @@ def settle(entities: DataFrame, key: bytes = KEY) -> DataFrame:
     entities = store.saved(entities.distinct(), "entities")
     drawn = store.saved(entities.withColumn("nonce", F.lit(0)).mapInArrow(
         _draw(key), "kind string, value string, nonce int, made string"), "surrogates")
-    for _ in range(MOST_NONCES):
+    while True:                                             # each round has fewer, and names more room
         # Given names are a permutation of a closed list, where real names are expected to recur.
         open_kinds = drawn.where("kind <> 'given'")
         real = entities.select("kind", F.col("value").alias("made"))
@@ -304,13 +347,10 @@ def settle(entities: DataFrame, key: bytes = KEY) -> DataFrame:
         twice = open_kinds.join(first, ["kind", "made"]).where("value <> first").select("kind", "value")
         again = store.saved(taken.unionAll(twice).distinct(), "collisions")
         if again.isEmpty():
-            break
+            return drawn.where("nonce > 0").select("kind", "value", "nonce")
         redrawn = (drawn.join(again, ["kind", "value"], "left_semi").select("kind", "value", (F.col("nonce") + 1).alias("nonce"))
                    .mapInArrow(_draw(key), drawn.schema))
         drawn = store.saved(drawn.join(again, ["kind", "value"], "left_anti").select(drawn.columns).unionAll(redrawn), "surrogates")
-    else:
-        raise RuntimeError("surrogates still collide")
-    return drawn.where("nonce > 0").select("kind", "value", "nonce")
 
 
 def _rewrite(key: bytes, at: int, width: int):

@@ -54,3 +54,34 @@ def test_surnames_recur_alone(spark):
     a, given, b, c, ivan, d, e = re.fullmatch(r"(\w+) came. (\w+) (\w+) said so; (\w+)'s dog, Schmidtke's cat, (\w+) (\w+) и (\w+)\.", got[1][0]).groups()
     assert a == b == c.title() != "Schmidt" and c.isupper() and d == e != "Петров" and got[1][1] == 5
     assert got[2] == ("Schmidt alone.", 0)
+
+
+def test_names_are_known_by_their_place(spark):
+    texts = ["Please ask Dr. Vandermeer about it. Vandermeer knows.", "Dear Mr Oyelaran,\nthank you.\nKind regards,\nSiobhan Quigley\nThe end.",
+             "Write to tamsin.okafor@mail.example. Tamsin Okafor will reply; Okafor is in.", "Liebe Frau Özdemir, hallo.\nViele Grüße\nBjörn Åkesson",
+             "Уважаемый Ярополк Затейников, здравствуйте. Затейников тут."]
+    for text in texts:
+        made, found = pii.replace(pii.KEY, text, {})
+        assert pc.match_substring_regex(pa.array([text]), pii.MAY_HOLD)[0].as_py()
+        for name in ("Vandermeer", "Oyelaran", "Siobhan", "Quigley", "Tamsin", "Okafor", "Özdemir", "Björn", "Åkesson", "Ярополк", "Затейников"):
+            assert name not in made, made
+        assert found.count("name") >= 2 or "Oyelaran" in text
+    first, again = re.fullmatch(r"Please ask Dr. (\w+) about it. (\w+) knows.", pii.replace(pii.KEY, texts[0], {})[0]).groups()
+    assert first == again                                       # one person stays one person
+    for text in ("Dear All,\nthe Team met. All came.", "Dear Customer, hello Customer.", "The Don river. Miss it.\nRegards,\nthe team"):
+        assert [k for _, k in kinds(text)] == [], text
+    got = pii.protect(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [r["text"] for r in sorted(got, key=lambda r: r["doc_id"])] == [pii.replace(pii.KEY, t, {})[0] for t in texts]
+
+
+def test_country_codes_stay():
+    for s, code in (("+44 20 7946 0958", "+44"), ("+1 212 555 0100", "+1"), ("+353 1 679 9000", "+353"), ("+7 495 123-45-67", "+7"), ("+4930123456", "+49")):
+        made = {pii.replace(key, s, {})[0] for key in (b"a", b"b", b"c")}
+        assert all(m.startswith(code) and len(m) == len(s) for m in made) and len(made) == 3
+
+
+def test_room_for_any_number_of_surnames(spark):
+    names = spark.range(100_000).selectExpr("'surname-latin' AS kind", "concat('n', id) AS value")
+    redrawn = {r["value"]: r["nonce"] for r in pii.settle(names, b"k").collect()}
+    made = {pii.surrogate(b"k", "surname-latin", f"n{i}", redrawn.get(f"n{i}", 0)) for i in range(100_000)}
+    assert len(made) == 100_000 and len(redrawn) < 1000

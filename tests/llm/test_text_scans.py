@@ -12,7 +12,7 @@ from larkspur.llm import html_text, licenses, pii, secret_scan
 
 
 def texts(page):
-    return [t for t, _ in html_text.blocks(page)]
+    return [t for t, main, _ in html_text.blocks(page) if main]
 
 
 def test_main_text_of_odd_markup():
@@ -34,7 +34,7 @@ def test_template_subtrees_go_by_host(spark):
     assert got[90] == "Story 0 of the day.\n\nAll rights reserved by us" and got[91] == ""
     assert got[103] == "Same opening.\n\nText 3"          # a repeated paragraph of the article stays
     empty = html_text.extract(spark.createDataFrame([], "page_id long, url string, html string, TEXT string"))
-    assert empty.columns == ["page_id", "url", "text", "n_chars"] and empty.count() == 0
+    assert empty.columns == ["page_id", "url", "text", "n_chars", "n_template_blocks", "n_rule_blocks"] and empty.count() == 0
 
 
 def plain_spans(text):
@@ -80,7 +80,7 @@ def test_prefilters_miss_nothing():
 
 
 def test_license_matches_and_spans(spark):
-    mit = licenses.TEMPLATES["mit"]
+    mit = licenses.plain(licenses.TEMPLATES["mit"])
     rows = [(0, "é x. Released under the MIT License. And"), (1, mit.upper() + " tail"), (2, None), (3, ""), (4, "the mit license"),
             (5, "Licensed under CC BY-NC 4.0. x Licensed under CC BY-NC 4.0."), (6, " ".join(w for i, w in enumerate(mit.split()) if i % 12)),
             (7, " ".join(w for i, w in enumerate(mit.split()) if i % 2)), (5, "Released under the MIT License")]
