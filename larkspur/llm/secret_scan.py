@@ -1,11 +1,13 @@
 """Secret scan with a recursive decoding worklist.
 
 Each text is scanned for assignments, access keys and long hex strings.  Encoded layers
-are then unwrapped: a decoder rewrites every piece it can decode (percent escapes, Unicode and
+are then unwrapped, region by region: a region is what stands around pieces that can be decoded, up to where no match can
+reach across.  A decoder rewrites every piece of a region that it can decode (percent escapes, Unicode and
 character escapes, base64 on one or several lines, and compressed bytes inside base64) in place and keeps, for every
-character of the new layer, the range of the original text it came from.  A changed layer joins the worklist,
-is scanned like the text itself, and its matches become spans of the original.  Layers already met
-(by digest) are not worked on again, so cycles end; the list runs until no decoder changes anything.
+character of the new region, the range of the original text it came from.  A changed region joins the worklist,
+is scanned like the text itself, and its matches become spans of the original.  Regions already met
+(by digest and place) are not worked on again, so cycles end; the list runs until no decoder changes anything.  Encodings of
+different regions do not multiply: the work grows with the regions, not with the ways to mix their layers.
 Decoded bytes are read as UTF-8 with any characters, as UTF-16 (by its mark, or by its zero bytes), else one character per
 byte where that may hold a match or a further layer.  Concatenated and doubly compressed streams are read to their end.
 The base spans always stay.
@@ -16,7 +18,8 @@ one pass over their bytes.
 Defined cases: a null text is empty; positions are code points of the original, end exclusive; equal spans
 count once; a match inside decompressed bytes has the span of its whole base64 piece; ids may repeat or
 be null; extra columns stay out; no rows give no rows.  A piece that decompresses to more than
-``MOST_DECOMPRESSED`` bytes is not unwrapped (a guard against decompression bombs).
+``MOST_DECOMPRESSED`` bytes is never held whole: it is decompressed as a stream and scanned, and its layers
+unwrapped, in overlapping windows; only a match that needs text outside the piece, or a layer longer than a window, is not seen there.
 """
 
 from __future__ import annotations
@@ -57,7 +60,12 @@ ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|(?:\\x[0-9A
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 # What bytes that are no text must show to be worked on.
 SIGNS = re.compile(r"(?i:password|passwd|secret|token|api_?key)|AKIA|[0-9a-f]{24}|" + MAY_DECODE)
-MOST_DECOMPRESSED = 64 << 20
+MOST_DECOMPRESSED = 16 << 20
+STREAM_WINDOW, STREAM_OVERLAP = 1 << 20, 64 << 10        # bytes
+# What a match or an encoded piece can consist of, in pieces between spaces; and such a piece that no space before or
+# after it can join to another, because it neither holds nor can become a colon or an equals sign.
+TOKEN = re.compile(r"""[A-Za-z0-9+/_.=\-"':%\\&#;{}]+""")
+PLAIN = re.compile(r"[A-Za-z0-9_.\-]{1,15}")
 
 Span = tuple[int, int, int]           # start, kind, end
 
@@ -96,32 +104,39 @@ def _readable(data: bytes) -> tuple[str, np.ndarray] | None:
         return (text, np.arange(1, len(data) + 1)) if SIGNS.search(text) else None
 
 
+MAKERS = ((b"\x1f\x8b", lambda: zlib.decompressobj(31)), (b"\x78", lambda: zlib.decompressobj()),
+          (b"BZh", bz2.BZ2Decompressor), (b"\xfd7zXZ", lzma.LZMADecompressor))
+BROKEN = (zlib.error, OSError, ValueError, lzma.LZMAError, EOFError)
+
+
+def _maker(data: bytes):
+    return next(((magic, make) for magic, make in MAKERS if data.startswith(magic)), None)
+
+
 def _decompress(data: bytes) -> bytes | None:
-    """The content of gzip, zlib, bzip2 or xz bytes: all their streams, and what follows them."""
-    makers = ((b"\x1f\x8b", lambda: zlib.decompressobj(31)), (b"\x78", lambda: zlib.decompressobj()),
-              (b"BZh", bz2.BZ2Decompressor), (b"\xfd7zXZ", lzma.LZMADecompressor))
-    for magic, make in makers:
-        if data.startswith(magic):
-            parts, room = [], MOST_DECOMPRESSED
-            while data.startswith(magic):
-                try:
-                    d = make()
-                    part = d.decompress(data, room + 1)
-                except (zlib.error, OSError, ValueError, lzma.LZMAError):
-                    break
-                if len(part) > room or not d.eof and not parts:
-                    return None
-                parts.append(part)
-                room -= len(part)
-                data = d.unused_data.lstrip(b"\0") if d.eof else b""
-            return b"".join([*parts, data]) if parts else None
-    return None
+    """The content of gzip, zlib, bzip2 or xz bytes: all their streams, and what follows them; cut behind ``MOST_DECOMPRESSED``."""
+    found = _maker(data)
+    if found is None:
+        return None
+    (magic, make), parts, room = found, [], MOST_DECOMPRESSED
+    while data.startswith(magic) and room >= 0:
+        try:
+            d = make()
+            part = d.decompress(data, room + 1)
+        except BROKEN:
+            break
+        if not d.eof and not parts and len(part) <= room:
+            return None
+        parts.append(part)
+        room -= len(part)
+        data = d.unused_data.lstrip(b"\0") if d.eof else b""
+    return b"".join([*parts, data]) if parts else None
 
 
 def _content(data: bytes) -> bytes | None:
-    """What is left when compressed bytes are unwrapped until they are none; None if nothing was."""
+    """What is left when compressed bytes are unwrapped until they are none; None if nothing was; too long if a stage of it is."""
     out, met = _decompress(data), set()
-    while out is not None and (key := hashlib.sha256(out).digest()) not in met:
+    while out is not None and len(out) <= MOST_DECOMPRESSED and (key := hashlib.sha256(out).digest()) not in met:
         met.add(key)
         inner = _decompress(out)
         if inner is None:
@@ -130,6 +145,74 @@ def _content(data: bytes) -> bytes | None:
     return out
 
 
+def _stream(chunks: Iterator[bytes]) -> Iterator[bytes]:
+    """The bytes of ``chunks``, decompressed while they are compressed, a part at a time."""
+    head = b""
+    for c in chunks:
+        head += c
+        if len(head) >= 8:
+            break
+    found = _maker(head)
+    if found is None:
+        yield head
+        yield from chunks
+        return
+
+    def parts() -> Iterator[bytes]:
+        (magic, make), data = found, head
+        while data.startswith(magic):
+            d = make()
+            try:
+                while not d.eof:
+                    piece = d.decompress(data, STREAM_OVERLAP)
+                    data = getattr(d, "unconsumed_tail", b"")
+                    if piece:
+                        yield piece
+                    elif not data and getattr(d, "needs_input", True):
+                        data = next(chunks, b"")
+                        if not data:
+                            return
+            except BROKEN:
+                return
+            data = d.unused_data.lstrip(b"\0")
+            while len(data) < 8 and (more := next(chunks, b"")):
+                data += more
+        if data:
+            yield data
+        yield from chunks
+    yield from _stream(parts())
+
+
+def _stream_kinds(data: bytes) -> set[int]:
+    """The kinds of match in the content of compressed bytes that is too long to hold, and in its layers."""
+    kinds: set[int] = set()
+    buffer = b""
+
+    def look(window: bytes) -> None:
+        got = _readable(window)
+        if got is None:
+            got = window.decode(errors="replace"), None     # a window may cut a character
+        kinds.update(k for _, k, _ in scan(got[0]))
+        kinds.update(k for _, k, _ in layered_spans(got[0]))
+
+    for part in _stream(iter([data])):
+        buffer += part
+        if len(buffer) >= STREAM_WINDOW:
+            look(buffer)
+            buffer = buffer[-STREAM_OVERLAP:]
+        if len(kinds) == len(KINDS):
+            return kinds
+    look(buffer)
+    return kinds
+
+
+class Long:
+    """Instead of decoded text: the kinds of match in a piece whose content is too long to hold."""
+
+    def __init__(self, kinds: set[int]):
+        self.kinds = kinds
+
+
 def _percent(m: re.Match) -> tuple[str, list[int], list[int]] | None:
     return _spread(unquote_to_bytes(m.group()), 3)
 
@@ -161,7 +244,7 @@ def _escape(m: re.Match) -> tuple[str, list[int], list[int]] | None:
     return text, [0, *ends[:-1].tolist()], ends.tolist()
 
 
-def _base64_body(s: str, at: np.ndarray, end: int) -> tuple[str, list[int], list[int]] | None:
+def _base64_body(s: str, at: np.ndarray, end: int) -> tuple[str, list[int], list[int]] | Long | None:
     """Decoded base64 characters, whose places in the piece are ``at``; the piece ends at ``end``."""
     body = s.replace("-", "+").replace("_", "/")
     if len(body) % 4 == 1:
@@ -171,6 +254,8 @@ def _base64_body(s: str, at: np.ndarray, end: int) -> tuple[str, list[int], list
     except binascii.Error:
         return None
     plain = _content(data)
+    if plain is not None and len(plain) > MOST_DECOMPRESSED:
+        return Long(_stream_kinds(data))
     if plain is not None:
         got = _readable(plain)
         return (got[0], [0] * len(got[0]), [end] * len(got[0])) if got else None
@@ -234,18 +319,65 @@ def _wrapped(m: _Piece) -> tuple[str, list[int], list[int]] | None:
     return None
 
 
-DECODERS = ((PERCENT, _percent), (ESCAPE, _escape), (BASE64, _base64), (_Wrapped(), _wrapped))
-
-
-def _unwrap(layer: str, starts: np.ndarray, ends: np.ndarray, pattern: re.Pattern, decode):
+DECODABLE = re.compile("|".join(p.pattern for p in (PERCENT, ESCAPE)) + r"|[A-Za-z0-9+/_-]{16}")
+WRAPPED = _Wrapped()
+DECODERS = ((PERCENT, _percent), (ESCAPE, _escape), (BASE64, _base64), (WRAPPED, _wrapped))
+
+
+def _runs(layer: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+    """Stretches of a line that a match may reach across: tokens, and tokens between spaces unless both are plain words."""
+    a = z = -1
+    plain = alone = False
+    for m in TOKEN.finditer(layer, start, end):
+        word = PLAIN.fullmatch(layer, *m.span()) is not None
+        if a >= 0 and not (plain and word) and not layer[z: m.start()].strip(" "):
+            alone = False
+        else:
+            if a >= 0 and not alone:
+                yield a, z
+            a, alone = m.start(), word
+        z, plain = m.end(), word
+    if a >= 0 and not alone:
+        yield a, z
+
+
+def _regions(layer: str) -> list[tuple[int, int]]:
+    """The stretches of a layer that hold something to decode, up to where no match and no piece reaches across.
+
+    That is at any character that is in no match and no piece, and at spaces between plain words.
+    """
+    out, at = [], 0
+    while m := DECODABLE.search(layer, at):                 # only lines with something to decode
+        start = layer.rfind("\n", 0, m.start()) + 1
+        end = layer.find("\n", m.start())
+        end = len(layer) if end < 0 else end
+        out += _runs(layer, max(start, at), end)
+        at = end + 1
+    # Pieces across lines, with the whole of their first and last line.
+    for w in WRAPPED.finditer(layer):
+        end = layer.find("\n", w.end())
+        out.append((layer.rfind("\n", 0, w.start()) + 1, len(layer) if end < 0 else end))
+    merged: list[tuple[int, int]] = []
+    for a, z in sorted(out):
+        if merged and a < merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(z, merged[-1][1]))
+        else:
+            merged.append((a, z))
+    return [(a, z) for a, z in merged if DECODABLE.search(layer, a, z)]
+
+
+def _unwrap(layer: str, starts: np.ndarray, ends: np.ndarray, pattern: re.Pattern, decode, found: set[Span]):
     """The layer with every decodable piece decoded in place, and its map; None if nothing changed."""
     pieces, s, e, at = [], [], [], 0
     for m in pattern.finditer(layer):
         got = decode(m)
         if got is None:
             continue
-        text, p, q = got
         a = m.start()
+        if isinstance(got, Long):
+            found.update((int(starts[a]), k, int(ends[m.end() - 1])) for k in got.kinds)
+            continue
+        text, p, q = got
         pieces += [layer[at:a], text]
         s += [starts[at:a], starts[a + np.array(p, np.int64)]]
         e += [ends[at:a], ends[a + np.array(q, np.int64) - 1]]
@@ -260,18 +392,20 @@ def layered_spans(text: str) -> set[Span]:
     found: set[Span] = set()
     identity = np.arange(len(text) + 1)
     work = [(text, identity[:-1], identity[1:])]
-    met = {hashlib.sha256(text.encode(errors="surrogatepass")).digest()}
+    met: set[tuple[int, bytes]] = set()
     while work:
-        layer, starts, ends = work.pop()
-        for pattern, decode in DECODERS:
-            new = _unwrap(layer, starts, ends, pattern, decode)
-            if new is None:
-                continue
-            key = hashlib.sha256(new[0].encode(errors="surrogatepass")).digest()
-            if key not in met:
-                met.add(key)
-                work.append(new)
-                found.update((int(new[1][a]), k, int(new[2][z - 1])) for a, k, z in scan(new[0]))
+        whole, all_starts, all_ends = work.pop()
+        for a, z in _regions(whole):
+            layer, starts, ends = whole[a:z], all_starts[a:z], all_ends[a:z]
+            for pattern, decode in DECODERS:
+                new = _unwrap(layer, starts, ends, pattern, decode, found)
+                if new is None:
+                    continue
+                key = (int(starts[0]), hashlib.sha256(new[0].encode(errors="surrogatepass")).digest())
+                if key not in met:
+                    met.add(key)
+                    work.append(new)
+                    found.update((int(new[1][x]), k, int(new[2][y - 1])) for x, k, y in scan(new[0]))
     return found
 
 
