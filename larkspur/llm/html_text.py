@@ -242,11 +242,12 @@ def blocks(page: str, rules: bool = True) -> list[Block]:
     hashes = {k: int.from_bytes(hashlib.blake2b("\n".join(v).encode(errors="replace"), digest_size=8).digest(), "big", signed=True)
               for k, v in texts.items() if len(v) > 1}
 
-    def may_be(n: Node, main: bool) -> bool:
+    def may_be(n: Node) -> bool:
         if id(n) in around or n.tag in ("html", "body"):
             return False
-        return not (main and explicit) or n.tag not in PROSE
-    return [(s if main else "", main, tuple(hashes[id(n)] for n in p if may_be(n, main))) for s, main, p in out]
+        # Outside an explicit main part a paragraph or list item goes with what holds it.
+        return not explicit or n.tag not in PROSE
+    return [(s if main else "", main, tuple(hashes[id(n)] for n in p if may_be(n))) for s, main, p in out]
 
 
 def _task(rules: bool):
@@ -278,13 +279,16 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     # Copies of a page are no evidence of a template, so different pages are counted.
     pages_of = rows.where(F.size("blocks") > 0).groupBy("host").agg(F.countDistinct("page").alias("pages"))
     first = rows.where(F.size("blocks") > 0).groupBy("host", "page").agg(F.min("row").alias("row"))
-    templates = (subtrees.join(first.select("row"), "row", "left_semi").select("host", F.explode("trees").alias("tree"))
-                 .groupBy("tree").agg(F.count("*").alias("n"), F.first("host").alias("host")).where(F.col("n") >= least_pages)
-                 .join(pages_of, "host").where(F.col("n") >= share * F.col("pages")).select("tree"))
-    templates = store.saved(templates, "templates").withColumn("salt", F.explode(F.expr(f"sequence(0, {SALTS - 1})")))
+    templates = (subtrees.join(first.select("row"), "row", "left_semi").select("row", F.explode("trees").alias("tree"))
+                 .groupBy("tree").agg(F.count("*").alias("n"), F.min("row").alias("row")).where(F.col("n") >= least_pages)
+                 .join(rows.select("row", "host"), "row").join(pages_of, "host").where(F.col("n") >= share * F.col("pages")).select("tree"))
     # Only pages that hold a template; written first, so that Spark knows its size and need not shuffle the texts where it is small.
-    seen = subtrees.select("row", F.explode("trees").alias("tree")).withColumn("salt", F.pmod("row", F.lit(SALTS)).cast("int"))
-    cut = store.saved(seen.join(templates, ["tree", "salt"]).groupBy("row").agg(F.collect_set("tree").alias("templates")),
+    salts = F.expr(f"sequence(0, {SALTS - 1})")
+    templates = (store.saved(templates, "templates").withColumn("salt", F.explode(salts))
+                 .select("tree", F.xxhash64("tree", F.col("salt").cast("long")).alias("salted")))
+    group = F.pmod("row", F.lit(SALTS))
+    seen = subtrees.select("row", F.explode(F.transform("trees", lambda t: F.xxhash64(t, group))).alias("salted"))
+    cut = store.saved(seen.join(templates, "salted").groupBy("row").agg(F.collect_set("tree").alias("templates")),
                       "page-templates")
     of_template = lambda b: F.arrays_overlap(F.transform(b["under"], lambda h: F.xxhash64("host", h)),
                                              F.coalesce("templates", F.array().cast("array<long>")))
