@@ -13,6 +13,7 @@ at a time is assumed; it finishes a stage that another batch left behind before
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +39,18 @@ def ensure_archive(spark: SparkSession, root: str) -> None:
             .partitionBy(*PARTITION_COLS).parquet(root)
 
 
+@contextmanager
+def _writers_for_files(spark: SparkSession):
+    """Let AQE keep as many writers as there are cores, however few bytes: what an hour costs is its file, not its size."""
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1b")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def write_partitions(stats: DataFrame, root: str, fresh: bool = False) -> None:
     """Overwrite exactly the (date, hour) partitions present in ``stats``.
 
@@ -50,7 +63,8 @@ def write_partitions(stats: DataFrame, root: str, fresh: bool = False) -> None:
         w = w.mode("errorifexists")
     else:
         w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    w.partitionBy(*PARTITION_COLS).parquet(root)
+    with _writers_for_files(stats.sparkSession):
+        w.partitionBy(*PARTITION_COLS).parquet(root)
 
 
 def archived_for(spark: SparkSession, batch: DataFrame, root: str) -> tuple[DataFrame, int]:
@@ -60,7 +74,11 @@ def archived_for(spark: SparkSession, batch: DataFrame, root: str) -> tuple[Data
     bounds become constants on both sides of the semi join, so the scan lists the dates between them
     only, and the selective filter on the hours makes Spark prune the rest at run time.
     """
-    path = scratch_path(spark, "touched-hours")
+    return _archived_for(spark, batch, root, scratch_path(spark, "touched-hours"))
+
+
+def _archived_for(spark: SparkSession, batch: DataFrame, root: str, path: str) -> tuple[DataFrame, int]:
+    """``archived_for`` with the touched hours at ``path``, to be kept until the rows have been read."""
     hashtags.active_hours(batch).write.parquet(path)
     hours = spark.read.schema("date string, hour string").parquet(path)
     lo, hi, n = hours.agg(F.min("date"), F.max("date"), F.count("*")).first()
@@ -123,15 +141,17 @@ def upsert(spark: SparkSession, batch: DataFrame, root: str, batch_id: str | Non
         return 0
     stage = f"{root}/{STAGES}/{name}"
     if not _exists(spark, f"{stage}/_SUCCESS"):
-        counted = scratch_path(spark, "batch-counts")
+        counted, hours = scratch_path(spark, "batch-counts"), scratch_path(spark, "touched-hours")
         batch.select(*hashtags.STATS_KEYS, "cnt").write.parquet(counted)
         counts = spark.read.schema(hashtags.STATS_SCHEMA).parquet(counted)
-        archived, n_hours = archived_for(spark, counts, root)
-        if n_hours == 0:
-            return 0
-        hashtags.merge_counts(counts, archived).write.mode("overwrite").parquet(stage)
+        archived, touched = _archived_for(spark, counts, root, hours)
+        if touched:
+            hashtags.merge_counts(counts, archived).write.mode("overwrite").parquet(stage)
         _drop(spark, counted)
-    staged = spark.read.schema(hashtags.STATS_SCHEMA).parquet(stage)
-    touched = hashtags.active_hours(staged).count()
+        _drop(spark, hours)
+        if not touched:
+            return 0
+    else:                                                   # left complete by a crash
+        touched = hashtags.active_hours(spark.read.schema(hashtags.STATS_SCHEMA).parquet(stage)).count()
     _publish(spark, root, name)
     return touched

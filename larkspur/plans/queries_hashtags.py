@@ -196,6 +196,9 @@ def hashtag_archive_merge(spark, sf_dir):
     arch, batch = _archive_and_batch(spark, sf_dir)
     root = scratch_path(spark, "hashtag-archive")
     archive.write_partitions(arch, root, fresh=True)
+    counted = scratch_path(spark, "batch-counts")           # the batch is counted once, for its hours and for the sum
+    batch.write.parquet(counted)
+    batch = spark.read.schema(hashtags.STATS_SCHEMA).parquet(counted)
     looked_up, _ = archive.archived_for(spark, batch, root)
     return hashtags.merge_counts(batch, looked_up)
 

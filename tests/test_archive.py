@@ -148,3 +148,21 @@ def test_hot_hour_is_split_across_writers(spark):
         assert rows(archive.read_archive(spark, root)) == sorted(hot)
     finally:
         spark.conf.set(key, prev)
+
+
+def test_many_small_hours_are_written_by_several_tasks(spark):
+    hours = [(f"2024-01-{d:02d}", f"{h:02d}", f"t{d}", d) for d in range(1, 11) for h in range(24)]
+    root = scratch_path(spark, "t-archive-writers")
+    archive.write_partitions(spark.createDataFrame(hours, SCHEMA).repartition(4), root, fresh=True)
+    files = glob.glob(f"{root}/date=*/hour=*/*.parquet")
+    assert len(files) == 240 and len({os.path.basename(f).split("-")[1] for f in files}) >= 2
+    assert rows(archive.read_archive(spark, root)) == sorted(hours)
+
+
+def test_upsert_leaves_no_scratch(spark, monkeypatch):
+    made = []
+    real = archive.scratch_path
+    monkeypatch.setattr(archive, "scratch_path", lambda s, n: made.append(real(s, n)) or made[-1])
+    root = scratch_path(spark, "t-archive-scratch")
+    archive.upsert(spark, spark.createDataFrame([("2024-01-01", "09", "a", 3)], SCHEMA), root, batch_id="b")
+    assert made and not any(os.path.exists(p) for p in made) and not glob.glob(f"{root}/{archive.STAGES}/*")
