@@ -117,7 +117,8 @@ class Block:
 
     def _best(self, q_id: int, q: np.ndarray, guess: np.ndarray, most: np.ndarray, floor: float, k: int):
         n = len(guess)
-        first = np.argpartition(guess, n - k)[n - k:] if n > k else np.arange(n)
+        ahead = k + 1                                       # the query's own vector may be the best
+        first = np.argpartition(guess, n - ahead)[n - ahead:] if n > ahead else np.arange(n)
         score = (self.x[first] * q).sum(axis=1)
         ids = self.ids[first]
         other = ids != q_id
