@@ -42,7 +42,7 @@ ROUNDS = 12                  # of contraction in one recursive query; words that
 STRETCH_BYTES = 2 << 20      # of text whose distinct words are encoded together
 CHUNK_BYTES = 1 << 16        # of words in one recursive query
 ROUND_ROWS = 1 << 20         # rows of all rounds of one query over a word longer than a chunk
-MEMO_BYTES = 32 << 20        # pieces of text whose ids a Python worker remembers, and as many older ones
+MEMO_BYTES = 96 << 20        # pieces of text whose ids a Python worker remembers, and as many older ones
 ENTRY_BYTES = 200            # of a remembered piece besides its characters and ids
 DUCK_MEMORY = "400MB"
 LONG = 64                    # bytes; a longer word is encoded in windows
