@@ -9,17 +9,22 @@ a row of its ranges, whichever of the columns they are on.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SAMPLE = 20_000
+FILE_ROWS = 200_000              # a file, which one task sorts, has about so many rows at most
 BITS = 6
 STATS = "_file_stats"            # leading underscore: invisible to readers of the data
 
 
-def bounds(df: DataFrame, columns: tuple[str, ...], bits: int = BITS) -> dict[str, list]:
-    """For each column up to 2**bits - 1 ascending values that cut a sample of it into equal parts."""
-    n = df.count()
+def bounds(df: DataFrame, columns: tuple[str, ...], n: int, bits: int = BITS) -> dict[str, list]:
+    """For each column up to 2**bits - 1 ascending values that cut a sample of its ``n`` rows into equal parts."""
     sample = df.select(*columns)
     if n > SAMPLE:
         sample = sample.where(F.pmod(F.xxhash64(*df.columns), F.lit(1 << 30)) < int((1 << 30) * SAMPLE / n)).limit(2 * SAMPLE)
@@ -54,20 +59,51 @@ def interleaved(buckets: list[Column], bits: int = BITS) -> Column:
     return key
 
 
+def _least_largest(values: pa.Array) -> tuple[pa.Scalar, pa.Scalar]:
+    """The least and largest value in Spark's order, where NaN is the largest; null if there is none."""
+    low, high = (pc.min_max(values)[k] for k in ("min", "max"))
+    if pa.types.is_floating(values.type) and pc.any(pc.is_nan(values)).as_py():
+        high = pa.scalar(float("nan"), values.type)
+        low = high if pc.all(pc.is_nan(values)).as_py() else low
+    return low, high
+
+
+def _batch_stats(names: list[str]):
+    """Of rows (file, columns) the (file, least and largest of each column, rows) of each batch.
+
+    Spark's own least and largest of strings per file would sort all the rows of a task.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file in pc.unique(batch.column(0)):
+                rows = batch.filter(pc.equal(batch.column(0), file))
+                ends = [pa.array([v], c.type) for c in rows.columns[1:] for v in _least_largest(c)]
+                yield pa.RecordBatch.from_arrays([pa.array([file.as_py()]), *ends, pa.array([rows.num_rows], pa.int64())],
+                                                 names=["file", *names, "rows"])
+    return run
+
+
 def write_clustered(df: DataFrame, path: str, columns: tuple[str, ...], files: int, bits: int = BITS) -> None:
     """Write ``df`` as ``files`` Parquet files clustered on ``columns``, and their statistics.
 
-    Rows of one key, however many, spread over files by a hash of the row.
+    There are more files where one would have over ``FILE_ROWS`` rows.  Rows of one key, however many, spread over
+    files by a hash of the row.
     """
-    cuts = bounds(df, columns, bits)
+    n = df.count()
+    files = max(files, -(-n // FILE_ROWS))
+    cuts = bounds(df, columns, n, bits)
     key = interleaved([bucket(F.col(c), cuts[c], bits) for c in columns], bits)
     (df.withColumns({"__key": key, "__tie": F.xxhash64(*df.columns)})
      .repartitionByRange(files, "__key", "__tie").sortWithinPartitions("__key", *columns).drop("__key", "__tie")
      .write.parquet(path))
     spark = df.sparkSession
-    stats = [f(c).alias(f"{name}_{c}") for c in columns for name, f in (("min", F.min), ("max", F.max))]
-    (spark.read.schema(df.schema).parquet(path).groupBy(F.col("_metadata.file_path").alias("file"))
-     .agg(*stats, F.count(F.lit(1)).alias("rows")).coalesce(1).write.parquet(f"{path}/{STATS}"))
+    written = spark.read.schema(df.schema).parquet(path)
+    read = written.select(F.col("_metadata.file_path").alias("file"), *columns)
+    kinds = [f"{name}_{c}" for c in columns for name in ("min", "max")]
+    parts = read.mapInArrow(_batch_stats(kinds), T.StructType(
+        [T.StructField("file", T.StringType()), *[T.StructField(k, df.schema[k[4:]].dataType) for k in kinds], T.StructField("rows", T.LongType())]))
+    stats = [(F.min if k.startswith("min_") else F.max)(k).alias(k) for k in kinds]
+    parts.groupBy("file").agg(*stats, F.sum("rows").alias("rows")).coalesce(1).write.parquet(f"{path}/{STATS}")
 
 
 def files_for(spark: SparkSession, path: str, ranges: dict[str, tuple]) -> tuple[list[str], int]:
