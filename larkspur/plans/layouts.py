@@ -8,6 +8,7 @@ count, sort columns, compression, bloom filters).  Tables are external
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,9 +31,12 @@ def rebalanced(df: DataFrame, partition_by: str | None, bucket_by: str, buckets:
 def write_layout(spark: SparkSession, df: DataFrame, name: str, fmt: str = "orc",
                  partition_by: str | None = "bid_date", buckets: int = 4, bucket_by: str = "cityid",
                  sort_by: tuple[str, ...] = ("useragent",), compression: str | None = None,
-                 bloom_columns: tuple[str, ...] = (), path: str | None = None) -> str:
+                 bloom_columns: tuple[str, ...] = (), path: str | None = None,
+                 derived: Callable[[DataFrame], DataFrame] | None = None) -> str:
     """Write ``df`` as an external table; returns the table name.
 
+    ``derived`` adds columns that follow from a row alone, after the shuffle, which need not carry them.
+
     Rows are rebalanced on (partition value, bucket id): every
     (partition, bucket) file set comes from its own writer task(s), AQE
     splits a hot bucket across several tasks (several files of one bucket
@@ -41,9 +45,13 @@ def write_layout(spark: SparkSession, df: DataFrame, name: str, fmt: str = "orc"
     table = f"{name}_{uuid.uuid4().hex[:10]}"
     path = path or scratch_path(spark, name)
     staged = rebalanced(df, partition_by, bucket_by, buckets)
+    if derived:
+        staged = derived(staged)
     w = staged.write.format(fmt).mode("overwrite").option("path", path)
     if fmt == "csv":
         # TAB-separated; NULL as \N, an empty string stays "" (quoted) so both survive a re-read.
+        # Gzip, for text repeats much; a file is what one task wrote, so none need be split to be read.
+        compression = compression or "gzip"
         w = w.option("sep", "\t").option("nullValue", "\\N")
     if compression is not None:
         w = w.option("compression", compression)

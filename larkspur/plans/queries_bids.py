@@ -179,17 +179,16 @@ def _layout_query(name, fmt, partition_by, buckets, sort_by=("useragent",), comp
                   enriched=False, region_tinyint=False, rename_domain=False, bloom=(), via_insert=False):
     def q(spark, sf_dir):
         df = ops.with_bid_date(bids(spark, sf_dir))
-        if enriched:
-            df = user_agent.enrich(df)
         if region_tinyint:
             df = df.withColumn("regionid", F.col("regionid").try_cast("tinyint"))
         if rename_domain:
             df = df.withColumnRenamed("publicdomain", "domain")
         if partition_by != "bid_date":
             df = df.drop("bid_date")
-        schema = df.schema
+        derived = user_agent.enrich if enriched else None
+        schema = (derived(df) if derived else df).schema
         options = dict(fmt=fmt, partition_by=partition_by, buckets=buckets, sort_by=sort_by,
-                       compression=compression, bloom_columns=bloom)
+                       compression=compression, bloom_columns=bloom, derived=derived)
         # CREATE TABLE (empty) then INSERT OVERWRITE ... PARTITION(bid_date) SELECT ..., or both at once.
         with layouts.layout(spark, df.limit(0) if via_insert else df, name, **options) as (t, path):
             if via_insert:
@@ -227,7 +226,7 @@ LOOKUP_PREDICATE = "device = 'Tablet' OR browser = 'Opera Mini' OR os = 'Linux'"
 @register("bids_lookup_bloom", f"""WITH {BIDS_SQL}
 SELECT bidid, device, os, browser FROM bids WHERE {LOOKUP_PREDICATE}""")
 def bids_lookup_bloom(spark, sf_dir):
-    df = user_agent.enrich(ops.with_bid_date(bids(spark, sf_dir)))
-    with layouts.layout(spark, df, "bids_lookup", fmt="orc", partition_by="bid_date", buckets=4,
+    df = ops.with_bid_date(bids(spark, sf_dir))
+    with layouts.layout(spark, df, "bids_lookup", fmt="orc", partition_by="bid_date", buckets=4, derived=user_agent.enrich,
                         sort_by=("device", "browser", "os"), bloom_columns=ops.ATTRS) as (_, path):
-        return layouts.read_layout(spark, path, df.schema).where(LOOKUP_PREDICATE).select("bidid", *ops.ATTRS)
+        return layouts.read_layout(spark, path, user_agent.enrich(df).schema).where(LOOKUP_PREDICATE).select("bidid", *ops.ATTRS)

@@ -1,11 +1,14 @@
 """Layouts whose tasks stay of bounded size, and that move and write few bytes."""
 
+import glob
 import math
 
 from pyspark.sql import functions as F
 
-from larkspur.plans import clustered
+from larkspur.functions import user_agent
+from larkspur.plans import clustered, layouts
 from larkspur.session import scratch_path
+from larkspur.sources import bids as src
 
 
 def test_more_rows_give_more_clustered_files(spark, monkeypatch):
@@ -36,3 +39,15 @@ def test_file_statistics_are_sparks_least_and_largest(spark, monkeypatch):
         return sorted(tuple("NaN" if isinstance(v, float) and math.isnan(v) else v for v in r) for r in rows.collect())
     assert got.columns == want.columns and plain(got) == plain(want) and got.count() > 1
     assert "count" not in asked          # rows per file are counted batch by batch, with nothing sorted
+
+
+def test_text_layout_shuffles_no_derived_column_and_is_compressed(spark):
+    agents = F.element_at(F.array(*[F.lit(u).cast("string") for u in src.USER_AGENTS]), (F.col("id") % len(src.USER_AGENTS)).cast("int") + 1)
+    df = spark.range(500).select(F.col("id").cast("string").alias("bidid"), (F.col("id") % 13).cast("string").alias("cityid"),
+                                 agents.alias("useragent"), F.lit("2013-10-19").alias("bid_date"))
+    path = scratch_path(spark, "t-derived")
+    layouts.write_layout(spark, df, "t_derived", fmt="csv", path=path, derived=user_agent.enrich)
+    want = user_agent.enrich(df)
+    got = layouts.read_layout(spark, path, want.schema, "csv").select(*want.columns)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert glob.glob(f"{path}/*/*.csv.gz") and not glob.glob(f"{path}/*/*.csv")
