@@ -1,7 +1,7 @@
 """Main text of web pages, with site templates found by counting element subtrees per host.
 
-Each page is parsed once.  Every element subtree of its body, before any rule by tag or class, gets a
-hash of its tags and text; Spark counts in how many different pages of its host (by a digest of their main text, so
+Each page is parsed twice, for its subtrees and then for its text, so that texts are on disk once only, in the shuffle
+that brings them to their templates.  Every element subtree of its body, before any rule by tag or class, gets a hash of its tags and text; Spark counts in how many different pages of its host (by a digest of their main text, so
 copies of a page count once) each hash occurs, and subtrees on at least ``TEMPLATE_PAGES`` pages and ``TEMPLATE_SHARE`` of the host's
 pages are deleted: menus, headers, footers, sidebars and notices that a site puts on its pages, whatever they are called.
 
@@ -250,15 +250,48 @@ def blocks(page: str, rules: bool = True) -> list[Block]:
     return [(s if main else "", main, tuple(hashes[id(n)] for n in p if may_be(n))) for s, main, p in out]
 
 
-def _task(rules: bool):
-    kind = pa.list_(pa.struct([("text", pa.string()), ("main", pa.bool_()), ("under", pa.list_(pa.int64()))]))
+def _spans(found: list[Block]) -> list[dict]:
+    """The runs of blocks that each subtree covers."""
+    runs: dict[int, list[list[int]]] = {}
+    for i, (_, _, under) in enumerate(found):
+        for h in set(under):
+            at = runs.setdefault(h, [])
+            if at and at[-1][1] == i - 1:
+                at[-1][1] = i
+            else:
+                at.append([i, i])
+    return [{"tree": h, "first": a, "last": z} for h, at in runs.items() for a, z in at]
+
+
+def _texts(found: list[Block]) -> list[str]:
+    return [t.encode("utf-8", "replace").decode() for t, main, _ in found if main]
+
+
+def _subtrees(rules: bool):
+    """Of (d1, d2, host, html) the rows (d1, d2, host, page, spans) of pages that have blocks; page is a digest of the main text."""
+    kind = pa.list_(pa.struct([("tree", pa.int64()), ("first", pa.int32()), ("last", pa.int32())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [blocks(h or "", rules) for h in batch.column(3).to_pylist()]
+            # No block has a line break, so different lists of blocks give different texts.
+            page = [int.from_bytes(hashlib.blake2b("\n".join(_texts(f)).encode(), digest_size=8).digest(), "big", signed=True) for f in found]
+            out = pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(page, pa.int64()), pa.array([_spans(f) for f in found], kind)],
+                                             names=["d1", "d2", "host", "page", "spans"])
+            yield out.filter(pa.array([len(f) > 0 for f in found], pa.bool_()))
+    return run
 
+
+def _main_texts(rules: bool):
+    """Of (page_id, url, d1, d2, html) the rows (page_id, url, d1, d2, n_blocks, at, texts): main texts, and which blocks they are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [[{"text": t.encode("utf-8", "replace").decode(), "main": m, "under": list(u)} for t, m, u in blocks(h or "", rules)]
-                     for h in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, kind)],
-                                             names=["page_id", "url", "blocks"])
+            found = [blocks(h or "", rules) for h in batch.column(4).to_pylist()]
+            at = [[i for i, (_, main, _) in enumerate(f) if main] for f in found]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:4], pa.array([len(f) for f in found], pa.int32()), pa.array(at, pa.list_(pa.int32())),
+                 pa.array([_texts(f) for f in found], pa.list_(pa.string()))],
+                names=["page_id", "url", "d1", "d2", "n_blocks", "at", "texts"])
     return run
 
 
@@ -267,34 +300,42 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """Per row of ``pages``: page_id, url, text, n_chars, n_template_blocks, n_rule_blocks; without ``rules`` templates alone remove text."""
     store.small_batches(pages.sparkSession)
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1))
-    rows = (pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-            .mapInArrow(_task(rules), "page_id long, url string, blocks array<struct<text string, main boolean, under array<long>>>"))
-    main_texts = F.transform(F.filter("blocks", lambda b: b["main"]), lambda b: b["text"])
-    rows = store.saved(rows.withColumn("host", F.xxhash64(host)).withColumn("page", F.xxhash64(main_texts))
-                       .withColumn("row", F.monotonically_increasing_id()), "page-blocks")
-
+    # A row is known by a digest of all that it holds: both passes give it the same, in whatever order they read.
+    source = (pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+              .withColumns({"d1": F.xxhash64("page_id", "url", "html"), "d2": F.xxhash64("html", "url", "page_id")}))
+    rows = (source.select("d1", "d2", F.xxhash64(host).alias("host"), "html")
+            .mapInArrow(_subtrees(rules), "d1 long, d2 long, host long, page long, spans array<struct<tree long, first int, last int>>"))
     # A subtree of a host: one number, salted into groups for its join with the pages.
-    hashes = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["under"])))
-    subtrees = rows.select("row", "host", "page", F.transform(hashes, lambda h: F.xxhash64("host", h)).alias("trees"))
+    of_host = lambda s: F.struct(F.xxhash64("host", s["tree"]).alias("tree"), s["first"].alias("first"), s["last"].alias("last"))
+    rows = store.saved(rows.withColumn("spans", F.transform("spans", of_host)).withColumn("row", F.monotonically_increasing_id()),
+                       "page-subtrees")
+
     # Copies of a page are no evidence of a template, so different pages are counted.
-    pages_of = rows.where(F.size("blocks") > 0).groupBy("host").agg(F.countDistinct("page").alias("pages"))
-    first = rows.where(F.size("blocks") > 0).groupBy("host", "page").agg(F.min("row").alias("row"))
-    templates = (subtrees.join(first.select("row"), "row", "left_semi").select("row", F.explode("trees").alias("tree"))
+    pages_of = rows.groupBy("host").agg(F.countDistinct("page").alias("pages"))
+    first = rows.groupBy("host", "page").agg(F.min("row").alias("row"))
+    trees = F.array_distinct(F.transform("spans", lambda s: s["tree"]))
+    templates = (rows.select("row", trees.alias("trees")).join(first.select("row"), "row", "left_semi").select("row", F.explode("trees").alias("tree"))
                  .groupBy("tree").agg(F.count("*").alias("n"), F.min("row").alias("row")).where(F.col("n") >= least_pages)
                  .join(rows.select("row", "host"), "row").join(pages_of, "host").where(F.col("n") >= share * F.col("pages")).select("tree"))
-    # Only pages that hold a template; written first, so that Spark knows its size and need not shuffle the texts where it is small.
+    # Written first, so that Spark knows their size and need not shuffle where it is small.
     salts = F.expr(f"sequence(0, {SALTS - 1})")
     templates = (store.saved(templates, "templates").withColumn("salt", F.explode(salts))
-                 .select("tree", F.xxhash64("tree", F.col("salt").cast("long")).alias("salted")))
+                 .select(F.xxhash64("tree", F.col("salt").cast("long")).alias("salted")))
     group = F.pmod("row", F.lit(SALTS))
-    seen = subtrees.select("row", F.explode(F.transform("trees", lambda t: F.xxhash64(t, group))).alias("salted"))
-    cut = store.saved(seen.join(templates, "salted").groupBy("row").agg(F.collect_set("tree").alias("templates")),
-                      "page-templates")
-    of_template = lambda b: F.arrays_overlap(F.transform(b["under"], lambda h: F.xxhash64("host", h)),
-                                             F.coalesce("templates", F.array().cast("array<long>")))
-    rows = rows.join(cut, "row", "left").withColumn("kept", F.filter("blocks", lambda b: ~of_template(b)))
-    text = F.array_join(F.transform(F.filter("kept", lambda b: b["main"]), lambda b: b["text"]), "\n\n")
-    return (rows.select("page_id", "url", text.alias("text"), (F.size("blocks") - F.size("kept")).cast("long").alias("n_template_blocks"),
-                        F.size(F.filter("kept", lambda b: ~b["main"])).cast("long").alias("n_rule_blocks"))
+    seen = (rows.select("d1", "d2", "row", F.explode("spans").alias("span"))
+            .select("d1", "d2", F.struct("span.first", "span.last").alias("span"), F.xxhash64("span.tree", group).alias("salted")))
+    cut = store.saved(seen.join(templates, "salted").groupBy("d1", "d2").agg(F.collect_set("span").alias("gone")), "page-templates")
+
+    # The texts are parsed again rather than kept: what is shuffled to meet the templates is all of them that is on disk.
+    texts = (source.select("page_id", "url", "d1", "d2", "html")
+             .mapInArrow(_main_texts(rules), "page_id long, url string, d1 long, d2 long, n_blocks int, at array<int>, texts array<string>"))
+    none = F.array().cast("array<struct<first int, last int>>")
+    of_template = lambda i: F.exists("gone", lambda s: (s["first"] <= i) & (s["last"] >= i))
+    every = F.when(F.col("n_blocks") > 0, F.sequence(F.lit(0), F.col("n_blocks") - 1)).otherwise(F.array().cast("array<int>"))
+    kept = F.transform(F.filter(F.arrays_zip("at", "texts"), lambda b: ~of_template(b["at"])), lambda b: b["texts"])
+    return (texts.join(cut, ["d1", "d2"], "left").withColumn("gone", F.coalesce("gone", none))
+            .select("page_id", "url", "n_blocks", kept.alias("kept"), F.size(F.filter(every, of_template)).alias("n_gone"))
+            .select("page_id", "url", F.array_join("kept", "\n\n").alias("text"), F.col("n_gone").cast("long").alias("n_template_blocks"),
+                    (F.col("n_blocks") - F.col("n_gone") - F.size("kept")).cast("long").alias("n_rule_blocks"))
             .withColumn("n_chars", F.length("text").cast("long"))
             .select("page_id", "url", "text", "n_chars", "n_template_blocks", "n_rule_blocks"))
